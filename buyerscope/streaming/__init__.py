@@ -1,0 +1,5 @@
+"""Nothing here on purpose: every job of this engine is a batch job.
+
+The look-back windows of the feature store end at one fixed reference date, so
+there is no moving frame and no state to keep between micro-batches.
+"""
