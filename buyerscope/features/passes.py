@@ -439,33 +439,34 @@ def attribute_features(
             F.max("returned").alias("returned"),
         )
     )
-    aggs = []
-    for a in names:
-        here = F.col("attr") == code[a]
-        aggs.append(F.count_if(here).alias(distinct_name(a)))
-        if a in attributes:
-            aggs += [
-                F.max(F.when(here, F.col("n"))).alias(f"{a}_top"),
-                F.sum(F.when(here, F.col("n"))).alias(f"{a}_rows"),
-            ]
-        if a in RECENT_ATTRIBUTES:
-            aggs += [
-                F.max(F.when(here, F.col("n90"))).alias(f"{a}_top90"),
-                F.sum(F.when(here, F.col("n90"))).alias(f"{a}_rows90"),
-            ]
-    if "prod_brand" in code:
-        brand = F.col("attr") == code["prod_brand"]
-        for d in LOOKBACK_DAYS:
-            start = end - F.expr(f"interval {d - 1} days")
-            aggs.append(F.count_if(brand & (F.col("kept_ts") >= start)).alias(f"n_unique_brands_last_{d}d"))
-        aggs.append(F.count_if(brand & F.col("returned")).alias("n_brands_returned"))
-    agg = counts.groupBy("cust_id").agg(*aggs)
-
-    shares = {share_name(a): ratio(f"{a}_top", f"{a}_rows") for a in attributes}
+    starts = {d: end - F.expr(f"interval {d - 1} days") for d in LOOKBACK_DAYS}
+    per_attribute = counts.groupBy("cust_id", "attr").agg(
+        F.max("n").alias("top"),
+        F.sum("n").alias("rows"),
+        F.count("*").alias("values"),
+        F.max("n90").alias("top90"),
+        F.sum("n90").alias("rows90"),
+        *[F.count_if(F.col("kept_ts") >= starts[d]).alias(f"values_{d}") for d in LOOKBACK_DAYS],
+        F.count_if("returned").alias("values_returned"),
+    )
+
+    def of(a: str, column: str) -> Column:
+        return F.max(F.when(F.col("attr") == code[a], F.col(column)))
+
+    aggs = [of(a, "values").alias(distinct_name(a)) for a in names]
     for a in attributes:
+        aggs.append(of(a, "share").alias(share_name(a)))
         if a in RECENT_ATTRIBUTES:
-            shares[f"{share_name(a)}_last_90d"] = ratio(f"{a}_top90", f"{a}_rows90")
-    out = agg.withColumns(shares)
+            aggs.append(of(a, "share90").alias(f"{share_name(a)}_last_90d"))
+    if "prod_brand" in code:
+        aggs += [of("prod_brand", f"values_{d}").alias(f"n_unique_brands_last_{d}d") for d in LOOKBACK_DAYS]
+        aggs.append(of("prod_brand", "values_returned").alias("n_brands_returned"))
+    out = (
+        per_attribute.withColumns({"share": ratio("top", "rows"), "share90": ratio("top90", "rows90")})
+        .groupBy("cust_id")
+        .agg(*aggs)
+    )
+
     later = {
         f"{share_name(a)}_last_90d_delta": F.col(f"{share_name(a)}_last_90d") - F.col(share_name(a))
         for a in attributes

@@ -13,12 +13,12 @@ from pyspark.sql import DataFrame, functions as F, types as T
 NUDGE = "1e-7"
 
 
-def shaped(df: DataFrame, digits: int = 4) -> DataFrame:
+def shaped(df: DataFrame, digits: int = 4, fine: dict[str, int] | None = None) -> DataFrame:
     out = []
     for f in df.schema:
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, (T.DoubleType, T.FloatType, T.DecimalType)):
-            c = F.round(c.cast("double") + F.lit(float(NUDGE)), digits)
+            c = F.round(c.cast("double") + F.lit(float(NUDGE)), (fine or {}).get(f.name, digits))
         elif isinstance(f.dataType, (T.IntegralType, T.BooleanType)):
             c = c.cast("bigint")
         elif isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType, T.DateType)):
