@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from buyerscope.functions.exprs import clip0
 from buyerscope.operators.ranks import grid_metrics, with_rank
+from buyerscope.sources.staging import staged
 
 # The published grids, in hundredths (alphas in tenths).
 PIPELINE_THRESHOLDS = tuple(range(5, 51, 5))
@@ -37,8 +38,13 @@ def hard_score(p: str, amount: str, threshold: Column) -> Column:
 
 
 def ranked_truth(preds: DataFrame, y: str = "y", key: str = "cust_id") -> DataFrame:
-    """Adds the rank of the true value once, for every metric that follows."""
-    return preds if "y_rank" in preds.columns else with_rank(preds, y, "y_rank", [key])
+    """Adds the rank of the true value once, for every metric that follows.
+
+    Predictions are read many times from here on, so they are staged before and after.
+    """
+    if "y_rank" in preds.columns:
+        return preds
+    return staged(with_rank(staged(preds, "predictions"), y, "y_rank", [key]), "ranked")
 
 
 def threshold_sweep(preds: DataFrame, values=PIPELINE_THRESHOLDS) -> DataFrame:

@@ -256,12 +256,12 @@ _SEARCH = f"""{WITH}, g1 AS (SELECT cast(k as double) / 100.0 AS w FROM range(0,
 mid AS (SELECT cast(round(w * 100) as bigint) AS m FROM c_scored ORDER BY mae, w LIMIT 1),
 g2 AS (SELECT cast(k as double) / 100.0 AS w FROM (SELECT unnest(range(greatest(0, m - 10), least(100, m + 10) + 1, 2)) AS k FROM mid)),
 {_weights_sql("preds, g2", "f_")},
-both AS (SELECT 'coarse' AS stage, * FROM c_scored UNION ALL SELECT 'fine', * FROM f_scored)"""
+stages AS (SELECT 'coarse' AS stage, * FROM c_scored UNION ALL SELECT 'fine', * FROM f_scored)"""
 
 
 @_add(
     "weight_search",
-    f"{_SEARCH}\nSELECT stage, {sql_num('round(1.0 - w, 2)', 'weight_first')}, {sql_num('w', 'weight_second')}, {_MAE}, {_RHO} FROM both",
+    f"{_SEARCH}\nSELECT stage, {sql_num('round(1.0 - w, 2)', 'weight_first')}, {sql_num('w', 'weight_second')}, {_MAE}, {_RHO} FROM stages",
 )
 def weight_search(spark, d):
     return _metrics(sweeps.weight_search(predictions(spark, d)))
@@ -273,15 +273,14 @@ def weight_search(spark, d):
 SELECT {sql_int('cust_id', 'cust_id')}, {sql_num('greatest((1.0 - w) * pred_first + w * pred_second, 0)', 'prediction')} FROM preds, pick""",
 )
 def ensemble_score(spark, d):
-    preds = predictions(spark, d)
+    preds = sweeps.ranked_truth(predictions(spark, d))
     fine = sweeps.weight_search(preds).where("stage = 'fine'")
     weight = fine.orderBy("MAE", "weight_second").first().weight_second
     return shaped(sweeps.ensemble_score(preds, weight))
 
 
-def _board(spark, d) -> DataFrame:
+def _board(preds: DataFrame) -> DataFrame:
     """AUC, MAE and Spearman of the two arithmetic models."""
-    preds = sweeps.ranked_truth(predictions(spark, d))
     models = F.explode(
         F.array(
             *[
@@ -299,9 +298,8 @@ def _board(spark, d) -> DataFrame:
     return auc(rows, ["model_name"], "buyer", "p").join(scores, "model_name")
 
 
-def _published(spark, d) -> DataFrame:
+def _published(preds: DataFrame) -> DataFrame:
     """Results of a run that has no classifier, hence no AUC."""
-    preds = sweeps.ranked_truth(predictions(spark, d))
     direct = grid_metrics(preds, [], "y", "y_rank", "amount_b")
     return direct.select(F.lit("direct").alias("model_name"), "MAE", "Spearman")
 
@@ -327,7 +325,8 @@ _AUC = 'round(auc + 1e-7, 6) AS "AUC"'
 
 @_add("leaderboard_union", f"{_BOARD}\nSELECT model_name, {_AUC}, {_MAE}, {_RHO} FROM board")
 def leaderboard_union(spark, d):
-    return _metrics(_board(spark, d).unionByName(_published(spark, d), allowMissingColumns=True))
+    preds = sweeps.ranked_truth(predictions(spark, d))
+    return _metrics(_board(preds).unionByName(_published(preds), allowMissingColumns=True))
 
 
 @_add(
@@ -335,4 +334,5 @@ def leaderboard_union(spark, d):
     f"{_BOARD}\nSELECT model_name, {_AUC}, {_MAE}, {_RHO}, row_number() OVER (ORDER BY mae, rho DESC, model_name) AS place FROM board",
 )
 def leaderboard_rank(spark, d):
-    return _metrics(sweeps.leaderboard(_board(spark, d), _published(spark, d)))
+    preds = sweeps.ranked_truth(predictions(spark, d))
+    return _metrics(sweeps.leaderboard(_board(preds), _published(preds)))
