@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
-from buyerscope.plans import cleaning_queries, feature_queries, model_queries, profile_queries
+from buyerscope.plans import (
+    cleaning_queries,
+    feature_queries,
+    lifetime_queries,
+    model_queries,
+    profile_queries,
+)
 
-_MODULES = (feature_queries, cleaning_queries, profile_queries, model_queries)
+_MODULES = (feature_queries, cleaning_queries, profile_queries, lifetime_queries, model_queries)
 
 QUERIES = {name: fn for m in _MODULES for name, fn in m.QUERIES.items()}
 ORACLE = {name: sql for m in _MODULES for name, sql in m.ORACLE.items()}
