@@ -1,14 +1,32 @@
-"""Two-stage buy / how-much model."""
+"""Two-stage buy / how-much model on MLlib.
+
+Stage one predicts the chance to buy, stage two the log revenue of buyers; the result
+is either their product or the amount behind a hard threshold, whichever has the lower
+error on the validation customers.
+"""
 
 from __future__ import annotations
 
+from dataclasses import dataclass, field, replace
+
+from pyspark.ml import Estimator, Model
+from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import DataFrame, functions as F
 
-from buyerscope.functions.exprs import date_ordinal
-from buyerscope.schema import numeric_columns
-from buyerscope.settings import TARGET
+from buyerscope.functions.exprs import clip0, date_ordinal
+from buyerscope.models import sweeps
+from buyerscope.operators.ranks import auc
+from buyerscope.operators.split import stratified_split
+from buyerscope.schema import conform_columns, numeric_columns
+from buyerscope.settings import TARGET, ModelSettings
+from buyerscope.sources.files import scored_customers
+from buyerscope.sources.staging import staged
 
 DATE_FEATURES = ("first_purchase", "last_purchase")
+NOT_FEATURES = ("cust_id", TARGET, "target_binary", "target_reg", "target_log", "is_validation")
 
 
 def with_targets(df: DataFrame, target: str = TARGET) -> DataFrame:
@@ -42,3 +60,184 @@ def join_test_customers(features: DataFrame, test: DataFrame) -> DataFrame:
 
 def dates_to_ordinals(df: DataFrame) -> DataFrame:
     return df.withColumns({c: date_ordinal(c) for c in DATE_FEATURES if c in df.columns})
+
+
+def feature_names(df: DataFrame) -> list[str]:
+    """The numeric columns that are neither key nor target."""
+    return [c for c in numeric_columns(df) if c not in NOT_FEATURES]
+
+
+def assembled(df: DataFrame, names: list[str], keep: list[str]) -> DataFrame:
+    """``cust_id``, the kept columns and one ``features`` vector; missing numbers are 0."""
+    filled = df.select(
+        "cust_id",
+        *keep,
+        *[F.coalesce(F.col(n).cast("double"), F.lit(0.0)).alias(n) for n in names],
+    )
+    vector = VectorAssembler(inputCols=names, outputCol="features").transform(filled)
+    return vector.select("cust_id", *keep, "features")
+
+
+def with_balanced_weight(df: DataFrame) -> DataFrame:
+    """Weight n / (2 * n_class), so that both classes weigh the same."""
+    sizes = df.agg(
+        F.struct(F.count("*").alias("n"), F.sum("target_binary").alias("pos"))
+    ).scalar()
+    of_class = F.when(F.col("target_binary") == 1, sizes["pos"]).otherwise(sizes["n"] - sizes["pos"])
+    return df.withColumn("weight", sizes["n"] / (of_class * 2.0))
+
+
+def default_classifier(s: ModelSettings) -> RandomForestClassifier:
+    return RandomForestClassifier(
+        labelCol="target_binary", featuresCol="features", weightCol="weight",
+        numTrees=s.classifier_trees, maxDepth=s.max_depth, minInstancesPerNode=s.min_leaf,
+        featureSubsetStrategy="sqrt", seed=s.seed,
+    )
+
+
+def default_regressor(s: ModelSettings) -> RandomForestRegressor:
+    return RandomForestRegressor(
+        labelCol="target_log", featuresCol="features", numTrees=s.regressor_trees,
+        maxDepth=s.max_depth, minInstancesPerNode=s.min_leaf, featureSubsetStrategy="all",
+        seed=s.seed,
+    )
+
+
+def fit_classifier(estimator: Estimator, train: DataFrame) -> Model:
+    if not estimator.hasParam("probabilityCol"):
+        raise TypeError(f"{type(estimator).__name__} gives no probabilities; stage one needs them")
+    return estimator.fit(with_balanced_weight(train))
+
+
+def fit_regressor(estimator: Estimator, train: DataFrame) -> Model:
+    """Fit on buyers only; an early-stopping marker column is left to the estimator."""
+    rows = buyers(train)
+    if rows.limit(1).count() == 0:
+        raise ValueError("no buyers in the training rows")
+    return estimator.fit(rows)
+
+
+def buy_probability(model: Model, rows: DataFrame) -> DataFrame:
+    """Adds ``p_buy``, the probability of class 1 of a two-class model."""
+    if getattr(model, "numClasses", 2) != 2:
+        raise ValueError("stage one needs a model with exactly two classes")
+    added = ("rawPrediction", "probability", "prediction")
+    return model.transform(rows).withColumn("p_buy", vector_to_array("probability")[1]).drop(*added)
+
+
+def predicted_amount(model: Model, rows: DataFrame) -> DataFrame:
+    """Adds ``amount``: the log prediction taken back to revenue, at least 0."""
+    out = model.transform(rows)
+    return out.withColumn("amount", clip0(F.expm1("prediction"))).drop("prediction")
+
+
+def predict(classifier: Model, regressor: Model, rows: DataFrame) -> DataFrame:
+    scored = predicted_amount(regressor, buy_probability(classifier, rows))
+    return scored.drop("features")
+
+
+def evaluate(preds: DataFrame, thresholds=sweeps.PIPELINE_THRESHOLDS) -> DataFrame:
+    """AUC, both strategies and the choice between them as one row.
+
+    ``preds`` has cust_id, y, p_buy and amount; it is staged once and every metric
+    reads the staged rows.
+    """
+    ranked = sweeps.ranked_truth(preds)
+    area = auc(ranked.withColumn("buyer", (F.col("y") > 0).cast("int")), [], "buyer", "p_buy")
+    choice = sweeps.strategy_choice(ranked, thresholds)
+    return area.withColumn("_j", F.lit(1)).join(choice.withColumn("_j", F.lit(1)), "_j").drop("_j")
+
+
+@dataclass(frozen=True)
+class TwoStageRun:
+    """What a run leaves behind. Tables are DataFrames keyed by customer."""
+
+    classifier: Model
+    regressor: Model
+    names: list[str]
+    validation: DataFrame
+    evaluation: DataFrame
+    strategy: str
+    threshold: float
+    scored: DataFrame | None = None
+
+
+@dataclass(frozen=True)
+class TwoStagePipeline:
+    """Split, fit, evaluate, choose, refit on all labels, score.
+
+    Instances are never changed; ``with_models`` gives a copy with other estimators.
+    """
+
+    settings: ModelSettings = field(default_factory=ModelSettings)
+    classifier: Estimator | None = None
+    regressor: Estimator | None = None
+
+    def with_models(self, classifier=None, regressor=None) -> "TwoStagePipeline":
+        return replace(
+            self, classifier=classifier or self.classifier, regressor=regressor or self.regressor
+        )
+
+    def models(self) -> dict[str, Estimator]:
+        return {
+            "classifier": self.classifier or default_classifier(self.settings),
+            "regressor": self.regressor or default_regressor(self.settings),
+        }
+
+    def training_rows(self, features: DataFrame, train: DataFrame) -> tuple[DataFrame, list[str]]:
+        """Labelled customers that have features, split and assembled; staged."""
+        joined = with_targets(dates_to_ordinals(features).join(train, "cust_id"))
+        names = feature_names(joined)
+        split = stratified_split(
+            joined, "target_binary", share=self.settings.validation_share, seed=self.settings.seed
+        )
+        keep = ["target_binary", "target_reg", "target_log", "is_validation"]
+        return staged(assembled(split, names, keep), "training"), names
+
+    def validate(self, rows: DataFrame, names: list[str]) -> TwoStageRun:
+        models = self.models()
+        part = rows.where("is_validation = 0")
+        clf = fit_classifier(models["classifier"], part)
+        reg = fit_regressor(models["regressor"], part)
+        checked = rows.where("is_validation = 1").withColumn("y", F.col("target_reg"))
+        preds = sweeps.ranked_truth(predict(clf, reg, checked).select("cust_id", "y", "p_buy", "amount"))
+        grid = tuple(round(t * 100) for t in self.settings.thresholds)
+        result = staged(evaluate(preds, grid), "evaluation")
+        chosen = result.first()
+        return TwoStageRun(clf, reg, names, preds, result, chosen.chosen_strategy, chosen.best_threshold)
+
+    def refit(self, rows: DataFrame) -> tuple[Model, Model]:
+        models = self.models()
+        return fit_classifier(models["classifier"], rows), fit_regressor(models["regressor"], rows)
+
+    def run(self, features: DataFrame, train: DataFrame, test: DataFrame) -> TwoStageRun:
+        rows, names = self.training_rows(features, train)
+        checked = self.validate(rows, names)
+        clf, reg = self.refit(rows)
+        scored = score_customers(
+            clf, reg, join_test_customers(features, test), names, checked.strategy, checked.threshold
+        )
+        return replace(checked, classifier=clf, regressor=reg, scored=scored)
+
+
+def score_customers(
+    classifier: Model,
+    regressor: Model,
+    rows: DataFrame,
+    names: list[str],
+    strategy: str,
+    threshold: float,
+) -> DataFrame:
+    """The two-column result: the columns of training, absent ones as 0, then both models."""
+    conformed = conform_columns(dates_to_ordinals(rows), names)
+    preds = predict(classifier, regressor, assembled(conformed, names, []))
+    if strategy == "expected":
+        amount = sweeps.soft_score("p_buy", "amount")
+    else:
+        amount = sweeps.hard_score("p_buy", "amount", F.lit(float(threshold)))
+    return scored_customers(preds.withColumn("prediction", amount))
+
+
+def count_without_features(features: DataFrame, test: DataFrame) -> int:
+    """Customers to be scored that have no feature row; counted before any fill."""
+    return test.join(features.select("cust_id"), "cust_id", "left_anti").count()

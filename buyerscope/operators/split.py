@@ -15,38 +15,48 @@ def mixed(key: Column, seed: int) -> Column:
     return F.pmod(second, F.lit(PRIME))
 
 
-def stratified_split(
-    df: DataFrame, stratum: str, key: str = "cust_id", share: float = 0.2, seed: int = 42
-) -> DataFrame:
-    """Adds ``is_validation``: exactly round(share * n) rows of every stratum.
+def _placed(df: DataFrame, groups: list[str], key: str, seed: int) -> DataFrame:
+    """Adds ``_pos``, the place (from 1) of a row in the hashed order of its group, and ``_size``.
 
-    The rows of a stratum are ordered by a hash of the key. Its range is cut into fixed
-    buckets; the bucket sizes say how many come before each, and only the rank inside a
-    bucket needs a window, so a stratum is never sorted as a whole. The bucket table
-    has at most 65 536 rows per stratum, which bounds the broadcast for the few strata
-    this is made for (buyer or not).
+    The hash range is cut into fixed buckets; the bucket sizes say how many rows come
+    before each, and only the place inside a bucket needs a window, so a group is never
+    sorted as a whole. The bucket table has at most 65 536 rows per group, which bounds
+    its broadcast for the one or two groups this is made for.
     """
     marked = df.withColumn("_h", mixed(F.col(key).cast("long"), seed)).withColumn(
         "_b", F.floor(F.col("_h") / F.lit(PRIME // BUCKETS + 1)).cast("int")
     )
-    before = Window.partitionBy(stratum).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy(*groups).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     sizes = (
-        marked.groupBy(stratum, "_b")
+        marked.groupBy(*groups, "_b")
         .agg(F.count("*").alias("_n"))
         .withColumns(
             {
                 "_below": F.coalesce(F.sum("_n").over(before), F.lit(0)),
-                "_want": F.floor(
-                    F.sum("_n").over(Window.partitionBy(stratum)) * F.lit(share) + F.lit(0.5)
-                ),
+                "_size": F.sum("_n").over(Window.partitionBy(*groups)),
             }
         )
         .drop("_n")
     )
-    inside = Window.partitionBy(stratum, "_b").orderBy("_h", key)
+    inside = Window.partitionBy(*groups, "_b").orderBy("_h", key)
+    return marked.join(F.broadcast(sizes), [*groups, "_b"]).withColumn(
+        "_pos", F.col("_below") + F.row_number().over(inside)
+    )
+
+
+def stratified_split(
+    df: DataFrame, stratum: str, key: str = "cust_id", share: float = 0.2, seed: int = 42
+) -> DataFrame:
+    """Adds ``is_validation``: exactly round(share * n) rows of every stratum."""
+    want = F.floor(F.col("_size") * F.lit(share) + F.lit(0.5))
     return (
-        marked.join(F.broadcast(sizes), [stratum, "_b"])
-        .withColumn("_pos", F.col("_below") + F.row_number().over(inside))
-        .withColumn("is_validation", (F.col("_pos") <= F.col("_want")).cast("int"))
+        _placed(df, [stratum], key, seed)
+        .withColumn("is_validation", (F.col("_pos") <= want).cast("int"))
         .select(*df.columns, "is_validation")
     )
+
+
+def hashed_positions(df: DataFrame, key: str, seed: int) -> DataFrame:
+    """Adds ``position`` 1..n in a pseudo-random order of the keys."""
+    one = df.withColumn("_one", F.lit(0))
+    return _placed(one, ["_one"], key, seed).select(*df.columns, F.col("_pos").alias("position"))

@@ -8,9 +8,10 @@ from buyerscope.plans import (
     lifetime_queries,
     model_queries,
     profile_queries,
+    training_queries,
 )
 
-_MODULES = (feature_queries, cleaning_queries, profile_queries, lifetime_queries, model_queries)
+_MODULES = (feature_queries, cleaning_queries, profile_queries, lifetime_queries, model_queries, training_queries)
 
 QUERIES = {name: fn for m in _MODULES for name, fn in m.QUERIES.items()}
 ORACLE = {name: sql for m in _MODULES for name, sql in m.ORACLE.items()}
