@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from buyerscope.features.passes import in_window, is_kept
+from buyerscope.features.passes import KEPT, in_window
+from buyerscope.functions.exprs import grouped
 from buyerscope.operators.quantiles import grouped_quantiles
 from buyerscope.settings import LOOKBACK_DAYS, FeatureSettings
 
@@ -12,26 +13,20 @@ from buyerscope.settings import LOOKBACK_DAYS, FeatureSettings
 def basket_medians(items: DataFrame, settings: FeatureSettings) -> DataFrame:
     """Median sale revenue inside each look-back window."""
     days = list(LOOKBACK_DAYS)
-    longest = is_kept() & in_window(settings, max(days)) & F.col("sale_id").isNotNull()
-    sales = (
-        items.where(longest)
-        .groupBy("cust_id", "sale_id")
-        .agg(
-            *[
-                F.when(
-                    F.count_if(in_window(settings, d)) > 0,
-                    F.coalesce(
-                        F.sum(F.when(in_window(settings, d), F.col("sale_revenue"))), F.lit(0.0)
-                    ),
-                ).alias(str(d))
-                for d in days
-            ]
-        )
+    longest = f"{KEPT} and {in_window(settings, max(days))} and sale_id is not null"
+    sales = grouped(
+        items.where(longest),
+        ["cust_id", "sale_id"],
+        {
+            f"w{d}": f"case when count_if({in_window(settings, d)}) > 0 then "
+            f"coalesce(sum(case when {in_window(settings, d)} then sale_revenue end), 0D) end"
+            for d in days
+        },
     )
     long = sales.select(
         "cust_id",
         F.explode(
-            F.array(*[F.struct(F.lit(d).alias("days"), F.col(str(d)).alias("rev")) for d in days])
+            F.array(*[F.struct(F.lit(d).alias("days"), F.col(f"w{d}").alias("rev")) for d in days])
         ).alias("w"),
     ).select("cust_id", F.col("w.days").alias("days"), F.col("w.rev").alias("rev"))
     medians = grouped_quantiles(long, ["cust_id", "days"], "rev", [0.5])

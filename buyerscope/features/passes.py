@@ -10,21 +10,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame
 
-from buyerscope.functions.exprs import day_start, days_between, first_token, nz, ratio
+from buyerscope.functions.exprs import grouped, sql_days, sql_midnight, sql_ratio, with_columns
 from buyerscope.settings import LOOKBACK_DAYS, RETURN_LOOKBACK_DAYS, FeatureSettings
 
 Place = Callable[[DataFrame], DataFrame]
 
 
-def is_kept() -> Column:
-    return F.col("is_returned") == 0
-
-
-def is_returned() -> Column:
-    return F.col("is_returned") == 1
-
+KEPT = "is_returned = 0"
+RETURNED = "is_returned = 1"
 
 # Attribute columns and the names their features carry.
 TOP_SHARE_NAMES = {
@@ -70,25 +65,23 @@ def distinct_name(attribute: str) -> str:
     return names[1] if names else f"{attribute}_n_unique"
 
 
-def in_window(settings: FeatureSettings, days: int) -> Column:
+def in_window(settings: FeatureSettings, days: int) -> str:
     """Closed at both midnights: later on the last day is already outside."""
-    end = day_start(settings.reference_date)
-    start = end - F.expr(f"interval {days - 1} days")
-    return F.col("order_date").between(start, end)
+    end = sql_midnight(settings.reference_date)
+    return f"order_date between {end} - interval {days - 1} days and {end}"
 
 
-def _sum0(x: Column) -> Column:
-    return F.coalesce(F.sum(x), F.lit(0.0))
+def _sum_if(cond: str, x: str) -> str:
+    return f"coalesce(sum(case when {cond} then {x} end), 0D)"
 
 
-def _pop_std(n: Column, total: Column, squares: Column) -> Column:
+def _pop_std(n: str, total: str, squares: str) -> str:
     """Population deviation from count, sum and sum of squares.
 
     Only used on whole and half numbers (days, shoe sizes), whose sums are exact in a
     double, so equal values give exactly 0.
     """
-    spread = n * squares - total * total
-    return F.sqrt(F.greatest(spread, F.lit(0.0))) / nz(n)
+    return f"sqrt(greatest({n} * {squares} - {total} * {total}, 0D)) / nullif({n}, 0)"
 
 
 SALE_COLUMNS = (
@@ -105,197 +98,172 @@ SALE_COLUMNS = (
 )
 
 
+def _flag_sums(flag: str, cond: str, tail: str) -> dict[str, str]:
+    picked = f"case when {cond} then {flag} end"
+    return {f"{flag}_sum_{tail}": f"sum({picked})", f"{flag}_cnt_{tail}": f"count({picked})"}
+
+
+FLAGS = ("prod_web_only", "prod_outlet")
+
+
 def sale_level(items: DataFrame, settings: FeatureSettings, place: Place) -> DataFrame:
     """One row per customer and sale with everything that adds up over items."""
-    rev, disc = F.col("sale_revenue"), F.abs("sale_discount_applied")
-
-    def flag_sums(name: str, cond: Column, suffix: str) -> list[Column]:
-        return [
-            F.sum(F.when(cond, F.col(name))).alias(f"{name}_sum{suffix}"),
-            F.count(F.when(cond, F.col(name))).alias(f"{name}_cnt{suffix}"),
-        ]
-
-    always = F.lit(True)
-    aggs = [
-        F.count("*").alias("rows_all"),
-        F.sum("is_returned").alias("rows_returned"),
-        F.min("order_date").alias("first_ts"),
-        F.max("order_date").alias("last_ts"),
-        F.count_if(is_kept()).alias("rows_kept"),
-        _sum0(F.when(is_kept(), rev)).alias("rev_kept"),
-        _sum0(F.when(is_kept(), disc)).alias("disc_kept"),
-        F.count(F.when(is_kept(), disc)).alias("disc_cnt"),
-        F.max(F.when(is_kept(), disc)).alias("disc_max"),
-        F.count_if(is_kept() & (disc > 0)).alias("discounted"),
-        F.count(F.when(is_kept(), F.col("days_to_pack"))).alias("pack_n"),
-        F.sum(F.when(is_kept(), F.col("days_to_pack")).cast("double")).alias("pack_sum"),
-        F.sum(F.when(is_kept(), F.col("days_to_pack") * F.col("days_to_pack")).cast("double")).alias("pack_sq"),
-        F.max(F.when(is_kept(), F.col("days_to_pack"))).alias("pack_max"),
-        F.count("prod_size").alias("size_n"),
-        F.sum("prod_size").alias("size_sum"),
-        F.sum(F.col("prod_size") * F.col("prod_size")).alias("size_sq"),
-        F.min("prod_size").alias("size_lo"),
-        F.max("prod_size").alias("size_hi"),
-        *flag_sums("prod_web_only", always, "_all"),
-        *flag_sums("prod_web_only", is_kept(), "_kept"),
-        *flag_sums("prod_outlet", always, "_all"),
-        *flag_sums("prod_outlet", is_kept(), "_kept"),
-        F.sum(F.when(is_returned(), rev)).alias("rev_returned"),
-        F.max(F.when(is_returned(), F.col("order_date"))).alias("last_return_ts"),
-    ]
+    rev, disc = "sale_revenue", "abs(sale_discount_applied)"
+    aggs = {
+        "rows_all": "count(*)",
+        "rows_returned": "sum(is_returned)",
+        "first_ts": "min(order_date)",
+        "last_ts": "max(order_date)",
+        "rows_kept": f"count_if({KEPT})",
+        "rev_kept": _sum_if(KEPT, rev),
+        "disc_kept": _sum_if(KEPT, disc),
+        "disc_cnt": f"count(case when {KEPT} then {disc} end)",
+        "disc_max": f"max(case when {KEPT} then {disc} end)",
+        "discounted": f"count_if({KEPT} and {disc} > 0)",
+        "pack_n": f"count(case when {KEPT} then days_to_pack end)",
+        "pack_sum": f"sum(case when {KEPT} then cast(days_to_pack as double) end)",
+        "pack_sq": f"sum(case when {KEPT} then cast(days_to_pack * days_to_pack as double) end)",
+        "pack_max": f"max(case when {KEPT} then days_to_pack end)",
+        "size_n": "count(prod_size)",
+        "size_sum": "sum(prod_size)",
+        "size_sq": "sum(prod_size * prod_size)",
+        "size_lo": "min(prod_size)",
+        "size_hi": "max(prod_size)",
+        "rev_returned": f"sum(case when {RETURNED} then {rev} end)",
+        "last_return_ts": f"max(case when {RETURNED} then order_date end)",
+    }
+    for flag in FLAGS:
+        aggs |= _flag_sums(flag, "true", "all") | _flag_sums(flag, KEPT, "kept")
     for d in RETURN_LOOKBACK_DAYS:
-        aggs.append(F.count_if(is_returned() & in_window(settings, d)).alias(f"returned_{d}"))
+        aggs[f"returned_{d}"] = f"count_if({RETURNED} and {in_window(settings, d)})"
     for d in LOOKBACK_DAYS:
-        w = is_kept() & in_window(settings, d)
-        aggs += [
-            F.count_if(w).alias(f"rows_{d}"),
-            _sum0(F.when(w, rev)).alias(f"rev_{d}"),
-            _sum0(F.when(w, disc)).alias(f"disc_{d}"),
-            F.count_if(w & (disc > 0)).alias(f"discounted_{d}"),
-            *flag_sums("prod_outlet", w, f"_{d}"),
-            *flag_sums("prod_web_only", w, f"_{d}"),
-        ]
-    return place(items.select(*SALE_COLUMNS)).groupBy("cust_id", "sale_id").agg(*aggs)
+        w = f"{KEPT} and {in_window(settings, d)}"
+        aggs |= {
+            f"rows_{d}": f"count_if({w})",
+            f"rev_{d}": _sum_if(w, rev),
+            f"disc_{d}": _sum_if(w, disc),
+            f"discounted_{d}": f"count_if({w} and {disc} > 0)",
+        }
+        for flag in FLAGS:
+            aggs |= _flag_sums(flag, w, str(d))
+    return grouped(place(items.select(*SALE_COLUMNS)), ["cust_id", "sale_id"], aggs)
+
+
+def _basket_ratio(disc: str, rev: str) -> str:
+    return sql_ratio(disc, f"{rev} + {disc}")
 
 
 def sale_features(items: DataFrame, settings: FeatureSettings, place: Place) -> DataFrame:
     """Counts, revenue, recency, sizes, flags, returns, windows and baskets."""
-    sales = sale_level(items, settings, place)
-    named = F.col("sale_id").isNotNull()
-
-    def both(name: str) -> list[Column]:
-        return [F.sum(name).alias(name)]
-
-    def basket_ratio(disc: str, rev: str) -> Column:
-        return F.col(disc) / nz(F.col(rev) + F.col(disc))
-
-    kept_sale = named & (F.col("rows_kept") > 0)
-    aggs = [
-        F.coalesce(F.sum(F.when(named, F.col("rows_all"))), F.lit(0)).alias("n_items"),
-        F.count("sale_id").alias("n_sales"),
-        F.sum("rows_returned").alias("n_returns"),
-        F.min("first_ts").alias("first_purchase"),
-        F.max("last_ts").alias("last_purchase"),
-        F.sum("rows_kept").alias("rows_kept"),
-        F.sum(F.when(named, F.col("rows_kept"))).alias("n_items_non_returned"),
-        F.count_if(kept_sale).alias("n_sales_non_returned"),
-        F.sum("rev_kept").alias("rev_kept"),
-        F.sum("disc_kept").alias("disc_kept"),
-        F.sum("disc_cnt").alias("disc_cnt"),
-        F.max("disc_max").alias("max_discount_per_item"),
-        F.sum("discounted").alias("discounted"),
-        *[F.sum(f"pack_{k}").alias(f"pack_{k}") for k in ("n", "sum", "sq")],
-        F.max("pack_max").alias("max_days_to_pack"),
-        *[F.sum(f"size_{k}").alias(f"size_{k}") for k in ("n", "sum", "sq")],
-        F.min("size_lo").alias("size_min"),
-        F.max("size_hi").alias("size_max"),
-        F.sum("rev_returned").alias("rev_returned"),
-        F.max("last_return_ts").alias("last_return_ts"),
-        F.avg(F.when(kept_sale, F.col("disc_kept"))).alias("avg_discount_per_sale"),
-        F.avg(F.when(kept_sale, basket_ratio("disc_kept", "rev_kept"))).alias("avg_sale_discount_ratio"),
-        F.avg(F.when(kept_sale, F.col("rows_kept"))).alias("avg_items_per_sale"),
-    ]
-    for flag in ("prod_web_only", "prod_outlet"):
-        for part in ("all", "kept"):
-            aggs += both(f"{flag}_sum_{part}") + both(f"{flag}_cnt_{part}")
+    named = "sale_id is not null"
+    sold = f"{named} and rows_kept > 0"
+
+    def when(cond: str, x: str) -> str:
+        return f"case when {cond} then {x} end"
+
+    def sums(*names: str) -> dict[str, str]:
+        return {n: f"sum({n})" for n in names}
+
+    aggs = {
+        "n_items": f"coalesce(sum({when(named, 'rows_all')}), 0)",
+        "n_sales": "count(sale_id)",
+        "n_returns": "sum(rows_returned)",
+        "first_purchase": "min(first_ts)",
+        "last_purchase": "max(last_ts)",
+        "n_items_non_returned": f"sum({when(named, 'rows_kept')})",
+        "n_sales_non_returned": f"count_if({sold})",
+        "max_discount_per_item": "max(disc_max)",
+        "max_days_to_pack": "max(pack_max)",
+        "size_min": "min(size_lo)",
+        "size_max": "max(size_hi)",
+        "last_return_ts": "max(last_return_ts)",
+        "avg_discount_per_sale": f"avg({when(sold, 'disc_kept')})",
+        "avg_sale_discount_ratio": f"avg({when(sold, _basket_ratio('disc_kept', 'rev_kept'))})",
+        "avg_items_per_sale": f"avg({when(sold, 'rows_kept')})",
+        **sums("rows_kept", "rev_kept", "disc_kept", "disc_cnt", "discounted", "rev_returned"),
+        **sums(*[f"{what}_{k}" for what in ("pack", "size") for k in ("n", "sum", "sq")]),
+        **sums(*[f"{f}_{k}_{part}" for f in FLAGS for k in ("sum", "cnt") for part in ("all", "kept")]),
+    }
     for d in RETURN_LOOKBACK_DAYS:
-        aggs.append(
-            F.coalesce(F.sum(F.when(named, F.col(f"returned_{d}"))), F.lit(0)).alias(
-                f"n_returns_last_{d}d"
-            )
-        )
+        aggs[f"n_returns_last_{d}d"] = f"coalesce(sum({when(named, f'returned_{d}')}), 0)"
     for d in LOOKBACK_DAYS:
-        live = named & (F.col(f"rows_{d}") > 0)
-        aggs += [
-            F.sum(f"rows_{d}").alias(f"rows_{d}"),
-            F.coalesce(F.sum(F.when(named, F.col(f"rows_{d}"))), F.lit(0)).alias(f"n_items_last_{d}d"),
-            F.count_if(live).alias(f"n_sales_last_{d}d"),
-            F.sum(f"rev_{d}").alias(f"revenue_last_{d}d"),
-            F.sum(f"disc_{d}").alias(f"discount_last_{d}d"),
-            F.sum(f"discounted_{d}").alias(f"discounted_{d}"),
-            *both(f"prod_outlet_sum_{d}"),
-            *both(f"prod_outlet_cnt_{d}"),
-            *both(f"prod_web_only_sum_{d}"),
-            *both(f"prod_web_only_cnt_{d}"),
-            F.avg(F.when(live, F.col(f"rev_{d}"))).alias(f"avg_basket_value_last_{d}d"),
-            F.stddev_pop(F.when(live, F.col(f"rev_{d}"))).alias(f"std_basket_value_last_{d}d"),
-            F.avg(F.when(live, F.col(f"rows_{d}"))).alias(f"avg_items_per_sale_last_{d}d"),
-            F.avg(F.when(live, basket_ratio(f"disc_{d}", f"rev_{d}"))).alias(
-                f"avg_sale_discount_ratio_last_{d}d"
-            ),
-        ]
-    return _derive_sale_features(sales.groupBy("cust_id").agg(*aggs), settings)
+        live = f"{named} and rows_{d} > 0"
+        aggs |= {
+            f"n_items_last_{d}d": f"coalesce(sum({when(named, f'rows_{d}')}), 0)",
+            f"n_sales_last_{d}d": f"count_if({live})",
+            f"revenue_last_{d}d": f"sum(rev_{d})",
+            f"discount_last_{d}d": f"sum(disc_{d})",
+            f"avg_basket_value_last_{d}d": f"avg({when(live, f'rev_{d}')})",
+            f"std_basket_value_last_{d}d": f"stddev_pop({when(live, f'rev_{d}')})",
+            f"avg_items_per_sale_last_{d}d": f"avg({when(live, f'rows_{d}')})",
+            f"avg_sale_discount_ratio_last_{d}d": f"avg({when(live, _basket_ratio(f'disc_{d}', f'rev_{d}'))})",
+            **sums(f"rows_{d}", f"discounted_{d}"),
+            **sums(*[f"{f}_{k}_{d}" for f in FLAGS for k in ("sum", "cnt")]),
+        }
+    sales = sale_level(items, settings, place)
+    return _derive_sale_features(grouped(sales, ["cust_id"], aggs), settings)
 
 
 def _derive_sale_features(agg: DataFrame, settings: FeatureSettings) -> DataFrame:
-    ref = day_start(settings.reference_date)
-    any_kept = F.col("rows_kept") > 0
-    out = agg.withColumns(
-        {
-            "total_revenue_net": F.when(any_kept, F.col("rev_kept")),
-            "total_discount": F.when(any_kept, F.col("disc_kept")),
-            "customer_lifetime_days": days_between("first_purchase", "last_purchase"),
-            "days_since_last_purchase": days_between("last_purchase", ref),
-            "days_from_first_purchase_to_reference": days_between("first_purchase", ref),
-            "share_web_only": ratio("prod_web_only_sum_all", "prod_web_only_cnt_all"),
-            "share_outlet": ratio("prod_outlet_sum_all", "prod_outlet_cnt_all"),
-            "share_discounted_items": ratio("discounted", "rows_kept"),
-            "returned_revenue_sum": F.abs("rev_returned"),
-        }
-    )
-    windows = {}
+    ref = sql_midnight(settings.reference_date)
+    first = {
+        "total_revenue_net": "case when rows_kept > 0 then rev_kept end",
+        "total_discount": "case when rows_kept > 0 then disc_kept end",
+        "customer_lifetime_days": sql_days("first_purchase", "last_purchase"),
+        "days_since_last_purchase": sql_days("last_purchase", ref),
+        "days_from_first_purchase_to_reference": sql_days("first_purchase", ref),
+        "share_web_only": sql_ratio("prod_web_only_sum_all", "prod_web_only_cnt_all"),
+        "share_outlet": sql_ratio("prod_outlet_sum_all", "prod_outlet_cnt_all"),
+        "share_discounted_items": sql_ratio("discounted", "rows_kept"),
+        "returned_revenue_sum": "abs(rev_returned)",
+    }
     for d in LOOKBACK_DAYS:
         s = f"last_{d}d"
-        windows[f"share_discounted_items_{s}"] = ratio(f"discounted_{d}", f"rows_{d}")
-        windows[f"share_outlet_{s}"] = ratio(f"prod_outlet_sum_{d}", f"prod_outlet_cnt_{d}")
-        windows[f"share_web_only_{s}"] = ratio(f"prod_web_only_sum_{d}", f"prod_web_only_cnt_{d}")
-    out = out.withColumns(windows)
-    out = out.withColumns(
-        {
-            "total_revenue_gross": F.col("total_revenue_net") + F.col("total_discount"),
-            "observation_days_total": F.col("days_from_first_purchase_to_reference") + 1,
-            "avg_revenue_per_day_last_90d": F.col("revenue_last_90d") / 90,
-            "avg_rev_per_sale": ratio("total_revenue_net", "n_sales_non_returned"),
-            "avg_days_between_purchases": ratio("customer_lifetime_days", "n_sales"),
-        }
-    )
-    out = out.withColumn(
-        "avg_revenue_per_day_total", ratio("total_revenue_net", "observation_days_total")
-    )
-    per_item = ratio("total_revenue_net", "n_items_non_returned")
-    out = out.withColumns(
-        {
-            "avg_rev_per_item": per_item,
-            "monetary_per_item": per_item,
-            "return_rate": ratio("n_returns", "n_items"),
-            "discount_ratio": ratio("total_discount", "total_revenue_gross"),
-            "days_since_last_vs_avg": ratio("days_since_last_purchase", "avg_days_between_purchases"),
-            "recency_ratio": ratio("customer_lifetime_days", "days_from_first_purchase_to_reference"),
-            "purchase_frequency": ratio("n_sales_non_returned", F.col("customer_lifetime_days") + 1),
-            "items_per_sale": ratio("n_items_non_returned", "n_sales_non_returned"),
-            "avg_days_to_pack": ratio("pack_sum", "pack_n"),
-            "std_days_to_pack": _pop_std(F.col("pack_n"), F.col("pack_sum"), F.col("pack_sq")),
-            "size_mean": ratio("size_sum", "size_n"),
-            "size_std": _pop_std(F.col("size_n"), F.col("size_sum"), F.col("size_sq")),
-            "share_web_only_non_returned": ratio("prod_web_only_sum_kept", "prod_web_only_cnt_kept"),
-            "share_outlet_non_returned": ratio("prod_outlet_sum_kept", "prod_outlet_cnt_kept"),
-            "avg_discount_per_item": ratio("disc_kept", "disc_cnt"),
-            "revenue_last_30d_to_90d": ratio("revenue_last_30d", "revenue_last_90d"),
-            "revenue_last_90d_to_365d": ratio("revenue_last_90d", "revenue_last_365d"),
-            "n_sales_last_30d_to_90d": ratio("n_sales_last_30d", "n_sales_last_90d"),
-            "n_sales_last_90d_to_365d": ratio("n_sales_last_90d", "n_sales_last_365d"),
-            "avg_basket_value_last_30d_to_total": ratio("avg_basket_value_last_30d", "avg_rev_per_sale"),
-            "avg_basket_value_last_90d_to_total": ratio("avg_basket_value_last_90d", "avg_rev_per_sale"),
-            "share_discounted_items_last_90d_delta": F.col("share_discounted_items_last_90d")
-            - F.col("share_discounted_items"),
-            "share_outlet_last_90d_delta": F.col("share_outlet_last_90d") - F.col("share_outlet"),
-            "share_web_only_last_90d_delta": F.col("share_web_only_last_90d") - F.col("share_web_only"),
-            "revenue_velocity": ratio("avg_revenue_per_day_last_90d", "avg_revenue_per_day_total"),
-            "days_since_last_return": days_between("last_return_ts", ref),
-            "returned_revenue_ratio": ratio("returned_revenue_sum", "total_revenue_gross"),
-        }
-    )
-    return out
+        first[f"share_discounted_items_{s}"] = sql_ratio(f"discounted_{d}", f"rows_{d}")
+        first[f"share_outlet_{s}"] = sql_ratio(f"prod_outlet_sum_{d}", f"prod_outlet_cnt_{d}")
+        first[f"share_web_only_{s}"] = sql_ratio(f"prod_web_only_sum_{d}", f"prod_web_only_cnt_{d}")
+    second = {
+        "total_revenue_gross": "total_revenue_net + total_discount",
+        "observation_days_total": "days_from_first_purchase_to_reference + 1",
+        "avg_revenue_per_day_last_90d": "revenue_last_90d / 90",
+        "avg_rev_per_sale": sql_ratio("total_revenue_net", "n_sales_non_returned"),
+        "avg_days_between_purchases": sql_ratio("customer_lifetime_days", "n_sales"),
+        "avg_revenue_per_day_total": sql_ratio(
+            "total_revenue_net", "days_from_first_purchase_to_reference + 1"
+        ),
+    }
+    ratios = {
+        "avg_rev_per_item": ("total_revenue_net", "n_items_non_returned"),
+        "monetary_per_item": ("total_revenue_net", "n_items_non_returned"),
+        "return_rate": ("n_returns", "n_items"),
+        "discount_ratio": ("total_discount", "total_revenue_gross"),
+        "days_since_last_vs_avg": ("days_since_last_purchase", "avg_days_between_purchases"),
+        "recency_ratio": ("customer_lifetime_days", "days_from_first_purchase_to_reference"),
+        "purchase_frequency": ("n_sales_non_returned", "customer_lifetime_days + 1"),
+        "items_per_sale": ("n_items_non_returned", "n_sales_non_returned"),
+        "avg_days_to_pack": ("pack_sum", "pack_n"),
+        "size_mean": ("size_sum", "size_n"),
+        "share_web_only_non_returned": ("prod_web_only_sum_kept", "prod_web_only_cnt_kept"),
+        "share_outlet_non_returned": ("prod_outlet_sum_kept", "prod_outlet_cnt_kept"),
+        "avg_discount_per_item": ("disc_kept", "disc_cnt"),
+        "revenue_last_30d_to_90d": ("revenue_last_30d", "revenue_last_90d"),
+        "revenue_last_90d_to_365d": ("revenue_last_90d", "revenue_last_365d"),
+        "n_sales_last_30d_to_90d": ("n_sales_last_30d", "n_sales_last_90d"),
+        "n_sales_last_90d_to_365d": ("n_sales_last_90d", "n_sales_last_365d"),
+        "avg_basket_value_last_30d_to_total": ("avg_basket_value_last_30d", "avg_rev_per_sale"),
+        "avg_basket_value_last_90d_to_total": ("avg_basket_value_last_90d", "avg_rev_per_sale"),
+        "revenue_velocity": ("avg_revenue_per_day_last_90d", "avg_revenue_per_day_total"),
+        "returned_revenue_ratio": ("returned_revenue_sum", "total_revenue_gross"),
+    }
+    third = {name: sql_ratio(a, b) for name, (a, b) in ratios.items()}
+    third |= {
+        "std_days_to_pack": _pop_std("pack_n", "pack_sum", "pack_sq"),
+        "size_std": _pop_std("size_n", "size_sum", "size_sq"),
+        "days_since_last_return": sql_days("last_return_ts", ref),
+    }
+    for share in ("share_discounted_items", "share_outlet", "share_web_only"):
+        third[f"{share}_last_90d_delta"] = f"{share}_last_90d - {share}"
+    return with_columns(with_columns(with_columns(agg, first), second), third)
 
 
 def order_features(items: DataFrame, settings: FeatureSettings, place: Place) -> DataFrame:
@@ -306,85 +274,81 @@ def order_features(items: DataFrame, settings: FeatureSettings, place: Place) ->
     than a day apart, which is a gap of 0 whole days; those gaps only need counting,
     and just the gap to the day before has to be looked at.
     """
-    kept = items.where(is_kept() & F.col("order_date").isNotNull()).select("cust_id", "order_date")
-    stamps = place(kept).groupBy(
-        "cust_id", F.to_date("order_date").alias("day"), "order_date"
-    ).agg(F.count("*").alias("rows"))
-    days = stamps.groupBy("cust_id", "day").agg(
-        F.sum("rows").alias("rows"),
-        F.count("*").alias("stamps"),
-        F.min("order_date").alias("first_ts"),
-        F.max("order_date").alias("last_ts"),
+    kept = items.where(f"{KEPT} and order_date is not null").select("cust_id", "order_date")
+    stamps = grouped(
+        place(kept),
+        {"cust_id": "cust_id", "day": "cast(order_date as date)", "order_date": "order_date"},
+        {"rows": "count(*)"},
     )
-    by_day = Window.partitionBy("cust_id").orderBy("day")
-    steps = days.withColumns(
+    days = grouped(
+        stamps,
+        ["cust_id", "day"],
         {
-            "gap": days_between(F.lag("last_ts").over(by_day), F.col("first_ts")),
-            "new_month": F.coalesce(
-                F.trunc("day", "month") != F.lag(F.trunc("day", "month")).over(by_day), F.lit(True)
-            ),
-        }
-    ).withColumn("latest", F.when(F.col("stamps") > 1, F.lit(0)).otherwise(F.col("gap")))
-    steps = steps.withColumn(
-        "second",
-        F.when(F.col("stamps") > 2, F.lit(0))
-        .when(F.col("stamps") == 2, F.col("gap"))
-        .otherwise(F.lag("latest").over(by_day)),
+            "rows": "sum(rows)",
+            "stamps": "count(*)",
+            "first_ts": "min(order_date)",
+            "last_ts": "max(order_date)",
+        },
     )
-    same_day = F.col("stamps") > 1
-    aggs = [
-        F.sum("stamps").alias("stamps"),
-        F.sum("rows").alias("rows"),
-        F.coalesce(F.sum("gap"), F.lit(0)).cast("double").alias("gap_sum"),
-        F.coalesce(F.sum(F.col("gap") * F.col("gap")), F.lit(0)).cast("double").alias("gap_sq"),
-        F.min(F.when(same_day, F.lit(0)).otherwise(F.col("gap"))).cast("long").alias("min_days_between_orders"),
-        F.max(F.coalesce(F.col("gap"), F.when(same_day, F.lit(0)))).cast("long").alias("max_days_between_orders"),
-        F.sum(F.col("stamps") - 1 + (F.coalesce(F.col("gap") <= 60, F.lit(False))).cast("int")).alias("fast"),
-        F.max_by(F.struct("latest", "second"), "day").alias("last_row"),
-        F.count_if("new_month").alias("n_active_months"),
-        *[F.sum(F.when(F.month("day") == m, F.col("rows")).otherwise(0)).alias(f"m{m}") for m in range(1, 13)],
-    ]
-    agg = steps.groupBy("cust_id").agg(*aggs)
-
-    gaps = nz(F.col("stamps") - 1)
-    shares = {f"m{m}": F.col(f"m{m}") / F.col("rows") for m in range(1, 13)}
-    quarters = {
-        f"q{q}": sum((F.col(f"m{m}") for m in range(3 * q - 2, 3 * q + 1)), F.lit(0)) / F.col("rows")
-        for q in range(1, 5)
-    }
-
-    def entropy(parts: list[Column]) -> Column:
-        terms = [F.when(p > 0, -p * F.ln(p)).otherwise(F.lit(0.0)) for p in parts]
-        return sum(terms[1:], terms[0])
-
-    out = agg.withColumns(
+    by_day = "over (partition by cust_id order by day)"
+    steps = with_columns(
+        days,
         {
-            "avg_days_between_orders": F.col("gap_sum") / gaps,
-            "std_days_between_orders": _pop_std(gaps, F.col("gap_sum"), F.col("gap_sq")),
-            "last_days_between_orders": F.col("last_row.latest").cast("long"),
-            "avg_last_2_gaps": F.when(
-                F.col("last_row.second").isNotNull(),
-                (F.col("last_row.latest") + F.col("last_row.second")) / 2.0,
-            ).otherwise(F.col("last_row.latest").cast("double")),
-            "share_fast_repeat_60d": F.col("fast") / F.col("stamps"),
-            "top_month_share": F.greatest(*shares.values()),
-            "n_active_purchase_months": sum(
-                ((F.col(f"m{m}") > 0).cast("long") for m in range(1, 13)), F.lit(0)
-            ).cast("long"),
-            "month_purchase_entropy": entropy(list(shares.values())),
-            "top_quarter_share": F.greatest(*quarters.values()),
-            "quarter_purchase_entropy": entropy(list(quarters.values())),
-            **{f"purchase_share_{q}": share for q, share in quarters.items()},
-        }
+            "gap": sql_days(f"lag(last_ts) {by_day}", "first_ts"),
+            "new_month": f"coalesce(trunc(day, 'month') <> lag(trunc(day, 'month')) {by_day}, true)",
+        },
     )
-    mean_gap = "avg_days_between_orders"
-    return out.withColumns(
+    steps = with_columns(steps, {"latest": "if(stamps > 1, 0, gap)"})
+    steps = with_columns(
+        steps,
         {
-            "last_vs_avg_days_between_orders": ratio("last_days_between_orders", mean_gap),
-            "gap_cv": ratio("std_days_between_orders", mean_gap),
-            "recent_gap_trend": ratio("avg_last_2_gaps", mean_gap),
-        }
+            "second": f"case when stamps > 2 then 0 when stamps = 2 then gap else lag(latest) {by_day} end"
+        },
     )
+    months = range(1, 13)
+    agg = grouped(
+        steps,
+        ["cust_id"],
+        {
+            "stamps": "sum(stamps)",
+            "rows": "sum(rows)",
+            "gap_sum": "cast(coalesce(sum(gap), 0) as double)",
+            "gap_sq": "cast(coalesce(sum(gap * gap), 0) as double)",
+            "min_days_between_orders": "cast(min(if(stamps > 1, 0, gap)) as bigint)",
+            "max_days_between_orders": "cast(max(coalesce(gap, if(stamps > 1, 0, null))) as bigint)",
+            "fast": "sum(stamps - 1 + if(gap <= 60, 1, 0))",
+            "last_row": "max_by(struct(latest, second), day)",
+            "n_active_months": "count_if(new_month)",
+            **{f"m{m}": f"sum(if(month(day) = {m}, rows, 0))" for m in months},
+        },
+    )
+
+    def entropy(parts: list[str]) -> str:
+        return " + ".join(f"if({p} > 0, -{p} * ln({p}), 0D)" for p in parts)
+
+    shares = {f"sm{m}": f"m{m} / rows" for m in months}
+    quarters = {
+        f"purchase_share_q{q}": f"({' + '.join(f'm{m}' for m in range(3 * q - 2, 3 * q + 1))}) / rows"
+        for q in range(1, 5)
+    }
+    means = {
+        "avg_days_between_orders": "gap_sum / nullif(stamps - 1, 0)",
+        "std_days_between_orders": _pop_std("(stamps - 1)", "gap_sum", "gap_sq"),
+        "last_days_between_orders": "cast(last_row.latest as bigint)",
+        "avg_last_2_gaps": "(last_row.latest + coalesce(last_row.second, last_row.latest)) / 2D",
+        "share_fast_repeat_60d": "fast / stamps",
+    }
+    finals = {
+        "top_month_share": f"greatest({', '.join(shares)})",
+        "n_active_purchase_months": " + ".join(f"cast(m{m} > 0 as bigint)" for m in months),
+        "month_purchase_entropy": entropy(list(shares)),
+        "top_quarter_share": f"greatest({', '.join(quarters)})",
+        "quarter_purchase_entropy": entropy(list(quarters)),
+        "last_vs_avg_days_between_orders": sql_ratio("last_days_between_orders", "avg_days_between_orders"),
+        "gap_cv": sql_ratio("std_days_between_orders", "avg_days_between_orders"),
+        "recent_gap_trend": sql_ratio("avg_last_2_gaps", "avg_days_between_orders"),
+    }
+    return with_columns(with_columns(agg, shares | quarters | means), finals)
 
 
 def attribute_features(
@@ -402,80 +366,68 @@ def attribute_features(
     which of the nested windows it occurs.
     """
     names = list(attributes)
-    columns = {a: F.col(a) for a in names}
+    columns = {a: a for a in names}
     if MATERIAL_MAIN in columns:
-        columns[MATERIAL_MAIN] = first_token("prod_material")
+        columns[MATERIAL_MAIN] = "trim(split_part(prod_material, ',', 1))"
     if with_size:
         names.append("prod_size")
-        columns["prod_size"] = F.col("prod_size").cast("string")
+        columns["prod_size"] = "cast(prod_size as string)"
     if with_product:
         names.append("prod_id")
-        columns["prod_id"] = F.col("prod_id").cast("string")
+        columns["prod_id"] = "cast(prod_id as string)"
     code = {a: i for i, a in enumerate(names)}
 
-    end = day_start(settings.reference_date)
-    narrow = items.select(
-        "cust_id",
-        F.when(is_kept() & (F.col("order_date") <= end), F.col("order_date")).alias("kept_ts"),
-        is_returned().alias("returned"),
-        *[columns[a].alias(a) for a in names],
-    )
-    long = place(narrow).select(
+    end = sql_midnight(settings.reference_date)
+    narrow = items.selectExpr(
         "cust_id",
-        "kept_ts",
-        "returned",
-        F.explode(
-            F.array(*[F.struct(F.lit(code[a]).cast("tinyint").alias("attr"), F.col(a).alias("value")) for a in names])
-        ).alias("av"),
+        f"case when {KEPT} and order_date <= {end} then order_date end as kept_ts",
+        f"{RETURNED} as returned",
+        *[f"{columns[a]} as {a}" for a in names],
     )
-    start_90 = end - F.expr("interval 89 days")
-    counts = (
-        long.where(F.col("av.value").isNotNull())
-        .groupBy("cust_id", F.col("av.attr").alias("attr"), F.col("av.value").alias("value"))
-        .agg(
-            F.count("*").alias("n"),
-            F.count_if(F.col("kept_ts") >= start_90).alias("n90"),
-            F.max("kept_ts").alias("kept_ts"),
-            F.max("returned").alias("returned"),
-        )
+    pairs = ", ".join(f"named_struct('attr', cast({code[a]} as tinyint), 'value', {a})" for a in names)
+    long = place(narrow).selectExpr("cust_id", "kept_ts", "returned", f"inline(array({pairs}))")
+    starts = {d: f"{end} - interval {d - 1} days" for d in LOOKBACK_DAYS}
+    counts = grouped(
+        long.where("value is not null"),
+        ["cust_id", "attr", "value"],
+        {
+            "n": "count(*)",
+            "n90": f"count_if(kept_ts >= {starts[90]})",
+            "kept_ts": "max(kept_ts)",
+            "returned": "max(returned)",
+        },
     )
-    starts = {d: end - F.expr(f"interval {d - 1} days") for d in LOOKBACK_DAYS}
-    per_attribute = counts.groupBy("cust_id", "attr").agg(
-        F.max("n").alias("top"),
-        F.sum("n").alias("rows"),
-        F.count("*").alias("values"),
-        F.max("n90").alias("top90"),
-        F.sum("n90").alias("rows90"),
-        *[F.count_if(F.col("kept_ts") >= starts[d]).alias(f"values_{d}") for d in LOOKBACK_DAYS],
-        F.count_if("returned").alias("values_returned"),
+    per_attribute = grouped(
+        counts,
+        ["cust_id", "attr"],
+        {
+            "share": "max(n) / sum(n)",
+            "share90": "max(n90) / nullif(sum(n90), 0)",
+            "distinct_values": "count(*)",
+            "distinct_returned": "count_if(returned)",
+            **{f"distinct_{d}": f"count_if(kept_ts >= {starts[d]})" for d in LOOKBACK_DAYS},
+        },
     )
 
-    def of(a: str, column: str) -> Column:
-        return F.max(F.when(F.col("attr") == code[a], F.col(column)))
+    def of(a: str, column: str) -> str:
+        return f"max(case when attr = {code[a]} then {column} end)"
 
-    aggs = [of(a, "values").alias(distinct_name(a)) for a in names]
+    aggs = {distinct_name(a): of(a, "distinct_values") for a in names}
+    later = {}
     for a in attributes:
-        aggs.append(of(a, "share").alias(share_name(a)))
+        aggs[share_name(a)] = of(a, "share")
         if a in RECENT_ATTRIBUTES:
-            aggs.append(of(a, "share90").alias(f"{share_name(a)}_last_90d"))
+            recent = f"{share_name(a)}_last_90d"
+            aggs[recent] = of(a, "share90")
+            later[f"{recent}_delta"] = f"{recent} - {share_name(a)}"
     if "prod_brand" in code:
-        aggs += [of("prod_brand", f"values_{d}").alias(f"n_unique_brands_last_{d}d") for d in LOOKBACK_DAYS]
-        aggs.append(of("prod_brand", "values_returned").alias("n_brands_returned"))
-    out = (
-        per_attribute.withColumns({"share": ratio("top", "rows"), "share90": ratio("top90", "rows90")})
-        .groupBy("cust_id")
-        .agg(*aggs)
-    )
-
-    later = {
-        f"{share_name(a)}_last_90d_delta": F.col(f"{share_name(a)}_last_90d") - F.col(share_name(a))
-        for a in attributes
-        if a in RECENT_ATTRIBUTES
-    }
-    if "prod_brand" in code:
-        later["n_unique_brands_last_90d_to_total"] = ratio("n_unique_brands_last_90d", "n_unique_brands")
+        for d in LOOKBACK_DAYS:
+            aggs[f"n_unique_brands_last_{d}d"] = of("prod_brand", f"distinct_{d}")
+        aggs["n_brands_returned"] = of("prod_brand", "distinct_returned")
+        later["n_unique_brands_last_90d_to_total"] = sql_ratio("n_unique_brands_last_90d", "n_unique_brands")
+    out = with_columns(grouped(per_attribute, ["cust_id"], aggs), later)
     if with_size:
         out = out.withColumnRenamed("prod_size_n_unique", "size_n_unique")
     if with_product:
         out = out.withColumnRenamed("prod_id_n_unique", "n_unique_products")
-    return out.withColumns(later)
+    return out

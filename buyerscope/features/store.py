@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from buyerscope.features import passes
 from buyerscope.features.medians import basket_medians, size_medians
-from buyerscope.functions.exprs import days_between, nz
+from buyerscope.functions.exprs import days_between, sql_ratio, with_columns
 from buyerscope.operators.skew import HotSplit
 from buyerscope.schema import numeric_columns
 from buyerscope.settings import LOOKBACK_DAYS, RETURN_LOOKBACK_DAYS, FeatureSettings
@@ -177,8 +177,8 @@ def select_features(
         for part in parts[1:]:
             out = out.join(part, "cust_id", how)
         if "active_month_ratio" in names:
-            span = (nz("days_from_first_purchase_to_reference") + 1) / 30.0
-            out = out.withColumn("active_month_ratio", F.col("n_active_months") / nz(span))
+            span = "(nullif(days_from_first_purchase_to_reference, 0) + 1) / 30D"
+            out = with_columns(out, {"active_month_ratio": sql_ratio("n_active_months", span)})
         return out
 
     wide = split.run(items, job)

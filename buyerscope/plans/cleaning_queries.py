@@ -91,7 +91,7 @@ def cast_dates(spark, d):
 def cast_numbers(spark, d):
     raw = view.observed_raw(spark, d)
     size = x.lenient("prod_size", raw.schema["prod_size"].dataType, TRANSACTIONS["prod_size"].dataType)
-    return shaped(raw.select("cust_id", "sale_id", "prod_id", size.alias("prod_size")))
+    return shaped(raw.select("cust_id", "sale_id", "prod_id", F.expr(size).alias("prod_size")))
 
 
 @_add(
@@ -100,7 +100,7 @@ def cast_numbers(spark, d):
 )
 def bool_tokens(spark, d):
     raw = view.observed_raw(spark, d)
-    flags = [x.bool_token(c, raw.schema[c].dataType).alias(c) for c in ("prod_web_only", "prod_outlet")]
+    flags = [F.expr(x.bool_token(c, raw.schema[c].dataType)).alias(c) for c in ("prod_web_only", "prod_outlet")]
     return shaped(raw.select("cust_id", "sale_id", "prod_id", *flags))
 
 

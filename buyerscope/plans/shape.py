@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, types as T
 
 NUDGE = "1e-7"
 
@@ -16,15 +16,15 @@ NUDGE = "1e-7"
 def shaped(df: DataFrame, digits: int = 4, fine: dict[str, int] | None = None) -> DataFrame:
     out = []
     for f in df.schema:
-        c = F.col(f"`{f.name}`")
+        c = f"`{f.name}`"
         if isinstance(f.dataType, (T.DoubleType, T.FloatType, T.DecimalType)):
-            c = F.round(c.cast("double") + F.lit(float(NUDGE)), (fine or {}).get(f.name, digits))
+            c = f"round(cast({c} as double) + {NUDGE}D, {(fine or {}).get(f.name, digits)})"
         elif isinstance(f.dataType, (T.IntegralType, T.BooleanType)):
-            c = c.cast("bigint")
+            c = f"cast({c} as bigint)"
         elif isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType, T.DateType)):
-            c = F.date_format(c, "yyyy-MM-dd HH:mm:ss")
-        out.append(c.alias(f.name))
-    return df.select(*out)
+            c = f"date_format({c}, 'yyyy-MM-dd HH:mm:ss')"
+        out.append(f"{c} as `{f.name}`")
+    return df.selectExpr(*out)
 
 
 def sql_num(expr: str, name: str, digits: int = 4) -> str:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from buyerscope.functions.exprs import bool_token, lenient
+from buyerscope.functions.exprs import bool_token, lenient, sql_days
 
 _TS = T.TimestampNTZType()
 
@@ -80,15 +80,14 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     out = []
     for field in schema:
         if field.name not in present:
-            col = F.lit(None).cast(field.dataType)
+            sql = f"cast(null as {field.dataType.simpleString()})"
         elif field.name in BOOL_TOKEN_COLUMNS:
-            col = bool_token(field.name, present[field.name])
+            sql = bool_token(field.name, present[field.name])
         else:
-            col = lenient(field.name, present[field.name], field.dataType)
-        out.append(col.alias(field.name))
+            sql = lenient(field.name, present[field.name], field.dataType)
+        out.append(f"{sql} as {field.name}")
     known = set(schema.fieldNames())
-    out += [F.col(name) for name in present if name not in known]
-    return df.select(*out)
+    return df.selectExpr(*out, *[name for name in present if name not in known])
 
 
 def type_transactions(df: DataFrame) -> DataFrame:
@@ -98,16 +97,12 @@ def type_transactions(df: DataFrame) -> DataFrame:
     filled marker would make every item look returned. Rows without a customer
     belong to no group and go away here, once.
     """
-    from buyerscope.functions.exprs import days_between
-
-    has_flag = "is_returned" in df.columns
-    typed = conform(df, TRANSACTIONS).where(F.col("cust_id").isNotNull())
-    if has_flag:
-        flag = F.col("is_returned").cast("int")
-    else:
-        flag = F.col("returned_to_shop_id").isNotNull().cast("int")
-    return typed.withColumns(
-        {"is_returned": flag, "days_to_pack": days_between("order_date", "pack_date")}
+    typed = conform(df, TRANSACTIONS).where("cust_id is not null")
+    given = "is_returned" in df.columns
+    flag = "cast(is_returned as int)" if given else "cast(returned_to_shop_id is not null as int)"
+    others = [c for c in typed.columns if c not in ("is_returned", "days_to_pack")]
+    return typed.selectExpr(
+        *others, f"{flag} as is_returned", f"{sql_days('order_date', 'pack_date')} as days_to_pack"
     )
 
 
