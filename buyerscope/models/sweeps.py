@@ -111,6 +111,23 @@ def blend_sweep(preds: DataFrame, first: str, second: str, values=BLEND_WEIGHTS)
     )
 
 
+def blend_summary(preds: DataFrame, first: str, second: str, values=BLEND_WEIGHTS) -> DataFrame:
+    """Both predictions alone and their best blend, best first."""
+    sweep = blend_sweep(ranked_truth(preds), first, second, values)
+    best = sweep.orderBy("MAE", F.desc("Spearman"), "weight_first").limit(1)
+
+    def row(rows: DataFrame, name: Column) -> DataFrame:
+        return rows.select(name.alias("model_name"), "MAE", "Spearman")
+
+    label = F.format_string("blend_%.1f_%.1f", "weight_first", "weight_second")
+    return (
+        row(sweep.where("weight_first = 1"), F.lit(first))
+        .unionByName(row(sweep.where("weight_first = 0"), F.lit(second)))
+        .unionByName(row(best, label))
+        .orderBy("MAE", F.desc("Spearman"), "model_name")
+    )
+
+
 def combo_table(preds: DataFrame, classifiers: dict[str, str], regressors: dict[str, str]) -> DataFrame:
     """Every classifier with every regressor; names map to the prediction columns."""
     pairs = F.explode(

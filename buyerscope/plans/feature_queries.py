@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from buyerscope.features import preferences, store
 from buyerscope.features.passes import CORE_ATTRIBUTES, DETAIL_ATTRIBUTES, RECENT_ATTRIBUTES
 from buyerscope.features.passes import distinct_name, share_name
-from buyerscope.functions.exprs import season_code, season_name, season_type, season_year
-from buyerscope.operators.skew import HotSplit
 from buyerscope.plans.features_check import feature_check, feature_tables
 from buyerscope.plans.shape import shaped, sql_num
 from buyerscope.sources import retail_view as view
+from buyerscope.sources.staging import staged
 
 _W = (30, 90, 180, 365)
 
@@ -94,22 +93,31 @@ FAMILIES: dict[str, list[str]] = {
 _KEPT_ONLY = {"order_gaps", "recent_gap_trend", "fast_repeat", "calendar_entropy"}
 
 
-def _family(names: list[str]):
+# Families fed by more than one pass read a staged table, so that the joins behind the
+# transactions run once.
+_SEVERAL_PASSES = {"calendar_features", "window_activity", "window_ratios", "customer_features", "returns_features"}
+
+
+def _table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return staged(view.transactions(spark, sf_dir), "items")
+
+
+def _family(name: str, names: list[str]):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        items = view.transactions(spark, sf_dir)
-        return shaped(store.select_features(items, view.FEATURES, names))
+        source = _table if name in _SEVERAL_PASSES else view.transactions
+        return shaped(store.select_features(source(spark, sf_dir), view.FEATURES, names))
 
     return run
 
 
 def _customer_features_full(spark: SparkSession, sf_dir: str) -> DataFrame:
-    items = view.transactions(spark, sf_dir)
+    items = _table(spark, sf_dir)
     return shaped(store.customer_features(items, view.FEATURES.with_(keep_redundant=True)))
 
 
 def _hot_path(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The feature table with the busiest customers sent down the hot path."""
-    items = view.transactions(spark, sf_dir)
+    items = _table(spark, sf_dir)
     settings = view.FEATURES.with_(hot_share=0.001, hot_floor=0)
     split = store.hot_split(items, settings)
     return shaped(store.customer_features(items, settings, split))
@@ -124,10 +132,10 @@ def _share_high_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _first_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shaped(preferences.first_table(view.transactions(spark, sf_dir), view.FEATURES))
+    return shaped(preferences.first_table(_table(spark, sf_dir), view.FEATURES))
 
 
-QUERIES = {name: _family(cols) for name, cols in FAMILIES.items()}
+QUERIES = {name: _family(name, cols) for name, cols in FAMILIES.items()}
 QUERIES["customer_features_full"] = _customer_features_full
 QUERIES["customer_features_hot_path"] = _hot_path
 QUERIES["season_shares"] = _season_shares

@@ -10,11 +10,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from buyerscope.features import store
 from buyerscope.models import sweeps
 from buyerscope.operators import profile
 from buyerscope.operators.ranks import auc, grid_metrics
 from buyerscope.plans.shape import shaped, sql_int, sql_num
 from buyerscope.sources import retail_view as view
+from buyerscope.sources.staging import staged
 
 QUERIES: dict = {}
 ORACLE: dict = {}
@@ -86,7 +88,7 @@ scored AS (SELECT {lead}avg(abs(y - guess)) AS mae,
 _MAE, _RHO = sql_num("mae", "MAE"), sql_num("rho", "Spearman", 6)
 
 
-_FINE = ("Spearman", "spearman_expected", "best_threshold_spearman", "AUC")
+_FINE = ("Spearman", "Spearman_buyers", "spearman_expected", "best_threshold_spearman", "AUC")
 
 
 def _metrics(df: DataFrame) -> DataFrame:
@@ -228,6 +230,49 @@ def blend_sweep(spark, d):
     return _metrics(sweeps.blend_sweep(predictions(spark, d), "pred_first", "pred_second"))
 
 
+@_add(
+    "blend_summary",
+    f"""{WITH}, grid AS (SELECT cast(k as double) / 100.0 AS w FROM range(0, 101, 10) t(k)),
+{_grid_sql("w", _MIX, "preds, grid")}
+SELECT case w when 1 then 'pred_first' else 'pred_second' end AS model_name, {_MAE}, {_RHO} FROM scored WHERE w IN (0, 1)
+UNION ALL SELECT printf('blend_%.1f_%.1f', w, round(1.0 - w, 2)), {_MAE}, {_RHO}
+FROM (SELECT * FROM scored ORDER BY mae, rho DESC, w LIMIT 1)""",
+)
+def blend_summary(spark, d):
+    return _metrics(sweeps.blend_summary(predictions(spark, d), "pred_first", "pred_second"))
+
+
+@_add(
+    "classifier_ranking",
+    f"""{WITH}, long AS (SELECT 'a' AS model_name, buyer, p_a AS p FROM preds UNION ALL SELECT 'b', buyer, p_b FROM preds),
+r AS (SELECT *, rank() OVER (PARTITION BY model_name ORDER BY p) + (count(*) OVER (PARTITION BY model_name, p) - 1) / 2.0 AS k FROM long)
+SELECT model_name, round((sum(k) FILTER (buyer = 1) - sum(buyer) * (sum(buyer) + 1) / 2.0) / (sum(buyer) * (count(*) - sum(buyer)))
+  + 1e-7, 6) AS "AUC" FROM r GROUP BY 1""",
+)
+def classifier_ranking(spark, d):
+    long = predictions(spark, d).selectExpr(
+        "buyer", "inline(array(named_struct('model_name', 'a', 'p', p_a), named_struct('model_name', 'b', 'p', p_b)))"
+    )
+    return _metrics(auc(long, ["model_name"], "buyer", "p").orderBy(F.desc("AUC"), "model_name"))
+
+
+@_add(
+    "regressor_ranking",
+    f"""{WITH}, long AS (SELECT y, 'a' AS model_name, amount_a AS g FROM preds WHERE buyer = 1
+  UNION ALL SELECT y, 'b', amount_b FROM preds WHERE buyer = 1),
+{_grid_sql("model_name", "greatest(g, 0)", "long")}
+SELECT model_name, {sql_num('mae', 'MAE_buyers')}, {sql_num('rho', 'Spearman_buyers', 6)} FROM scored""",
+)
+def regressor_ranking(spark, d):
+    ranked = sweeps.ranked_truth(predictions(spark, d).where("buyer = 1"))
+    long = ranked.selectExpr(
+        "y", "y_rank",
+        "inline(array(named_struct('model_name', 'a', 'g', amount_a), named_struct('model_name', 'b', 'g', amount_b)))",
+    ).withColumn("g", sweeps.clip0("g"))
+    scores = grid_metrics(long, ["model_name"], "y", "y_rank", "g").orderBy("MAE", F.desc("Spearman"), "model_name")
+    return _metrics(scores.selectExpr("model_name", "MAE as MAE_buyers", "Spearman as Spearman_buyers"))
+
+
 @_add(
     "combo_table",
     f"""{WITH}, grid AS (SELECT cust_id, y, 'a' AS classifier, 'a' AS regressor, p_a * greatest(amount_a, 0) AS g FROM preds
@@ -336,3 +381,38 @@ def leaderboard_union(spark, d):
 def leaderboard_rank(spark, d):
     preds = sweeps.ranked_truth(predictions(spark, d))
     return _metrics(sweeps.leaderboard(_board(preds), _published(preds)))
+
+
+_NEIGHBOUR_COLUMNS = ["n_items", "n_sales", "net", "last_day"]
+
+
+def _neighbour_facts(spark: SparkSession, d: str) -> DataFrame:
+    """A few whole-number features per customer, unscaled as in the published model."""
+    facts = store.select_features(
+        view.transactions(spark, d), view.FEATURES, ["n_items", "n_sales", "total_revenue_net", "last_purchase"]
+    )
+    return facts.selectExpr(
+        "cust_id", "n_items", "n_sales", "floor(total_revenue_net + 0.00003D) as net",
+        "datediff(last_purchase, date'1970-01-01') as last_day",
+    )
+
+
+@_add(
+    "knn_score",
+    f"""{view.oracle_tables()},
+nf AS (SELECT cust_id, count(*) AS n_items, count(DISTINCT sale_id) AS n_sales, {_NET} AS net,
+  date_diff('day', date '1970-01-01', cast(max(order_date) as date)) AS last_day FROM tx GROUP BY 1),
+pairs AS (SELECT q.cust_id, case when l.revenue_2018_2019 > 0 then 1 else 0 end AS buyer,
+  row_number() OVER (PARTITION BY q.cust_id ORDER BY {' + '.join(f'(q.{c} - t.{c}) * (q.{c} - t.{c})' for c in _NEIGHBOUR_COLUMNS)}, t.cust_id) AS n
+  FROM (SELECT nf.* FROM nf JOIN test USING (cust_id)) q, nf t JOIN train l ON l.cust_id = t.cust_id)
+SELECT {sql_int('cust_id', 'cust_id')}, {sql_num('avg(buyer)', 'score')} FROM pairs WHERE n <= 25 GROUP BY 1""",
+)
+def knn_score(spark, d):
+    from buyerscope.models.neighbours import knn_score
+
+    facts = staged(_neighbour_facts(spark, d), "facts")
+    train = facts.join(view.train_labels(spark, d), "cust_id").withColumn(
+        "buyer", (F.col("revenue_2018_2019") > 0).cast("int")
+    )
+    test = facts.join(view.test_customers(spark, d), "cust_id")
+    return shaped(knn_score(train, test, _NEIGHBOUR_COLUMNS, "buyer"))

@@ -31,7 +31,8 @@ def _add(name: str):
 
 
 def _features(spark: SparkSession, d: str) -> DataFrame:
-    return staged(store.customer_features(view.transactions(spark, d), view.FEATURES), "features")
+    items = staged(view.transactions(spark, d), "items")
+    return staged(store.customer_features(items, view.FEATURES), "features")
 
 
 def _rows(spark: SparkSession, d: str) -> tuple[DataFrame, list[str]]:

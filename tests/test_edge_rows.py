@@ -80,7 +80,7 @@ def test_size_bins(spark):
 
 def test_equal_quintile_edges_collapse(spark):
     rows = [row(1, i, DAY0, v) for i, v in enumerate((0, 0, 0, 0, 1, 2, 3))]
-    got = preferences.with_quintiles(items(spark, rows), "sale_revenue", "q").orderBy("sale_revenue").collect()
+    got = preferences.with_quintiles(items(spark, rows), {"q": "sale_revenue"}).orderBy("sale_revenue").collect()
     assert [r.q[:2] for r in got] == ["Q1"] * 4 + ["Q4", "Q5", "Q5"]  # edges 0, 0, 0.6, 1.8
 
 

@@ -135,3 +135,50 @@ def test_failed_pair_is_reported(spark, data):
     assert {r.feature for r in moved.collect()} == set(used)
     assert moved.agg(F.max("importance")).first()[0] > 0
     assert sweeps.FIRST_MODEL_THRESHOLD == 0.5
+
+
+def test_neighbours_match_brute_force(spark):
+    """Small rings and blocks, clusters, and one vector that a third of the rows share."""
+    from buyerscope.models.neighbours import knn_score
+
+    rng = np.random.default_rng(11)
+    pts = np.vstack([rng.normal(c, 3, (150, 3)).round(1) for c in (0, 40, 300)] + [np.zeros((220, 3))])
+    labels = rng.integers(0, 2, len(pts))
+    asks = np.vstack([rng.normal(c, 5, (15, 3)).round(1) for c in (0, 40, 300, 1000)] + [np.zeros((2, 3))])
+    cols = "cust_id long, a double, b double, c double"
+    train = spark.createDataFrame([(i, *map(float, p), int(y)) for i, (p, y) in enumerate(zip(pts, labels))], cols + ", y int")
+    queries = spark.createDataFrame([(i, *map(float, p)) for i, p in enumerate(asks)], cols)
+    got = knn_score(train, queries, ["a", "b", "c"], "y", k=9, pivot_count=6, ring_rows=20, block=8)
+    got = {r.cust_id: r.score for r in got.collect()}
+    for i, q in enumerate(asks):
+        d = np.sqrt(sum((q[j] - pts[:, j]) ** 2 for j in range(3)))
+        assert got[i] == pytest.approx(labels[np.lexsort((np.arange(len(pts)), d))[:9]].mean())
+
+
+def test_jobs_from_files_to_scores(spark, small_items):
+    """Ingest, split, features and scoring through files alone."""
+    import uuid
+
+    from buyerscope.plans import jobs
+    from buyerscope.settings import Paths
+    from buyerscope.sources import files
+    from buyerscope.sources.staging import staging_root
+
+    root = f"{staging_root(spark)}/jobs-{uuid.uuid4().hex}"
+    paths = Paths(f"{root}/tx", f"{root}/train", f"{root}/test", f"{root}/features", f"{root}/out")
+    files.write_csv(view.observed_raw(spark, SMALL), f"{root}/raw")
+    files.write_csv(view.train_labels(spark, SMALL), paths.train)
+    files.write_csv(view.test_customers(spark, SMALL), paths.test)
+    assert jobs.ingest(spark, f"{root}/raw", paths).count() == small_items.count()
+    jobs.split_transactions(spark, paths)
+    parts = spark.read.parquet(f"{paths.output}/split_transactions")
+    train = view.train_labels(spark, SMALL)
+    assert parts.count() == small_items.join(train, "cust_id", "left_semi").count()
+    both = parts.groupBy("cust_id").agg(F.count_distinct("part").alias("n"))
+    assert both.where("n > 1").count() == 0
+    features = jobs.build_features(spark, paths, view.FEATURES, view.LIFETIME)
+    assert features.columns[-3:] == ["prob_alive", "pred_num_purchases", "expected_avg_sales"]
+    assert len(features.columns) == 161
+    run = jobs.train_and_score(spark, paths, twostage.TwoStagePipeline(SETTINGS))
+    back = spark.read.option("header", True).csv(f"{paths.output}/scored_{run.strategy}")
+    assert back.columns == ["cust_id", SCORED] and back.count() == view.test_customers(spark, SMALL).count()
