@@ -54,11 +54,6 @@ def nz(x: Column | str) -> Column:
     return F.nullif(_c(x), F.lit(0))
 
 
-def ratio(a: Column | str, b: Column | str) -> Column:
-    """``a / b``, NULL on a zero or missing denominator."""
-    return _c(a) / nz(_c(b).cast("double"))
-
-
 def days_between(start: Column | str, end: Column | str) -> Column:
     """Whole days from start to end, rounded down: one hour early is -1 day."""
     micros = F.timestamp_diff("MICROSECOND", _c(start), _c(end))

@@ -4,15 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from buyerscope.features import preferences, store
+from buyerscope.features import store
 from buyerscope.functions import exprs as x
 from buyerscope.models.sweeps import clip0
 from buyerscope.operators import clean
 from buyerscope.operators.skew import heavy_hitter_join
 from buyerscope.operators.split import stratified_split
-from buyerscope.plans.features_check import feature_tables
 from buyerscope.plans.shape import shaped, sql_int, sql_num, sql_time
-from buyerscope.schema import TRANSACTIONS, conform, conform_columns, type_transactions
+from buyerscope.schema import TRANSACTIONS, conform, conform_columns
 from buyerscope.settings import TARGET
 from buyerscope.sources import retail_view as view
 
@@ -456,10 +455,10 @@ def split_leak_check(spark, d):
     f"UNION ALL SELECT 'original', count(*), {sql_num('avg(case when revenue_2018_2019 = 0 then 1.0 else 0.0 end)', 'z')} FROM train",
 )
 def split_zero_rate(spark, d):
-    items = view.transactions(spark, d).select("cust_id")
+    items = view.transactions(spark, d).select("cust_id", "sale_id", "prod_id")
     split = split_train(spark, d)
     per_customer = (
-        heavy_hitter_join(items.withColumn("_r", F.monotonically_increasing_id()), split, "cust_id", ["_r"])
+        heavy_hitter_join(items, split, "cust_id", ["sale_id", "prod_id"])
         .groupBy("cust_id", "is_validation")
         .agg(F.first(TARGET, ignorenulls=True).alias(TARGET))
     )

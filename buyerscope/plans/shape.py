@@ -6,8 +6,6 @@ bigint, dates become text. Both engines then print the same values.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-
 from pyspark.sql import DataFrame, types as T
 
 NUDGE = "1e-7"
@@ -37,18 +35,3 @@ def sql_int(expr: str, name: str) -> str:
 
 def sql_time(expr: str, name: str) -> str:
     return f"strftime({expr}, '%Y-%m-%d %H:%M:%S') AS {name}"
-
-
-def sql_select(
-    source: str,
-    text: Iterable[str] = (),
-    ints: Iterable[str] = (),
-    nums: Iterable[str] = (),
-    times: Iterable[str] = (),
-    digits: int = 4,
-) -> str:
-    cols = [f"{c} AS {c}" for c in text]
-    cols += [sql_int(c, c) for c in ints]
-    cols += [sql_num(c, c, digits) for c in nums]
-    cols += [sql_time(c, c) for c in times]
-    return f"SELECT {', '.join(cols)} FROM {source}"

@@ -3,7 +3,6 @@
 from datetime import date, datetime, timedelta
 
 import pytest
-from pyspark.sql import functions as F
 
 from buyerscope.features import preferences, store
 from buyerscope.functions import exprs as x
@@ -200,4 +199,3 @@ def test_prepare_frames_decides_on_training_rows(spark):
 def test_preview_of_negative_rows(spark):
     rows = [row(1, i, DAY0, float(v)) for i, v in enumerate((-3, -1, 2))]
     assert profile.preview_negative(items(spark, rows), "sale_revenue").count() == 2
-    assert F is not None
