@@ -122,13 +122,9 @@ def grouped(df: DataFrame, keys: dict[str, str] | list[str], columns: dict[str,
 
 
 def lookup(x: Column | str, table: dict) -> Column:
-    """Dictionary lookup as one CASE; unknown keys give NULL."""
-    col = _c(x)
-    keys = list(table)
-    case = F.when(col == keys[0], F.lit(table[keys[0]]))
-    for k in keys[1:]:
-        case = case.when(col == k, F.lit(table[k]))
-    return case
+    """Dictionary lookup in a literal map, so that ``x`` is worked out once; unknown keys give NULL."""
+    flat = [F.lit(v) for pair in table.items() for v in pair]
+    return F.try_element_at(F.create_map(*flat), _c(x))
 
 
 def first_token(x: Column | str) -> Column:
@@ -144,12 +140,12 @@ def season_year(x: Column | str) -> Column:
     return F.regexp_substr(_c(x), F.lit("[0-9]{2}$")).try_cast("double") + F.lit(2000.0)
 
 
-def season_name(x: Column | str) -> Column:
-    return lookup(season_code(x), SEASON_NAMES)
+def season_name(code: Column | str) -> Column:
+    return lookup(code, SEASON_NAMES)
 
 
-def season_type(x: Column | str) -> Column:
-    return lookup(season_code(x), SEASON_TYPES)
+def season_type(code: Column | str) -> Column:
+    return lookup(code, SEASON_TYPES)
 
 
 def merge_brands(x: Column | str) -> Column:
