@@ -1,8 +1,8 @@
 """Cutting a plan where its result is read more than once.
 
 The rows go to Parquet in the shared folder named by ``spark.checkpoint.dir``, so they
-outlive any executor and later reads still prune columns. Only where no folder is
-named, as in tests, one is made.
+outlive any executor and later reads still prune columns. Only a local session, as in
+tests, may leave the folder unnamed: one is made for it then.
 """
 
 from __future__ import annotations
@@ -14,9 +14,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def staging_root(spark: SparkSession) -> str:
+    """The shared folder; raises on a cluster that names none."""
     sc = spark.sparkContext
     named = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if not named:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         named = tempfile.mkdtemp(prefix="staging-")
         sc.setCheckpointDir(named)
     return named.rstrip("/")
@@ -28,3 +31,15 @@ def staged(df: DataFrame, label: str = "rows") -> DataFrame:
     path = f"{staging_root(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_staged(df: DataFrame) -> None:
+    """Delete the files of a staged table that nothing reads any more."""
+    spark = df.sparkSession
+    root = staging_root(spark)
+    for file in df.inputFiles():
+        folder = spark._jvm.org.apache.hadoop.fs.Path(file).getParent()
+        if root.split(":")[-1].lstrip("/") in folder.toString():
+            fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+            fs.delete(folder, True)
+            return
