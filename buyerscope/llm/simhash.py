@@ -124,12 +124,35 @@ def run_links(key: np.ndarray, fp: np.ndarray) -> np.ndarray:
     return np.unique(np.sort(pairs, axis=1), axis=0)
 
 
+class _Sets:
+    """Union-find over the fingerprints linked in a task."""
+
+    def __init__(self) -> None:
+        self.over: dict[int, int] = {}
+
+    def top(self, x: int) -> int:
+        over = self.over
+        while (y := over.get(x, x)) != x:
+            over[x] = x = over.get(y, y)
+        return x
+
+    def joins(self, a: int, b: int) -> bool:
+        a, b = self.top(a), self.top(b)
+        self.over[max(a, b)] = self.over[min(a, b)] = min(a, b)
+        return a != b
+
+
 def _sorted_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Over rows sorted by key; a run that reaches into the next batch waits for it."""
+    """Over rows sorted by key; a run that reaches into the next batch waits for it.
+
+    Of the links found, a task hands on those that connect what it had not connected yet.
+    """
+    sets = _Sets()
 
     def out(keys: list, fps: list) -> pa.RecordBatch:
-        links = run_links(np.concatenate(keys), np.concatenate(fps))
-        return pa.RecordBatch.from_arrays([pa.array(links[:, 0]), pa.array(links[:, 1])], ["a", "b"])
+        links = run_links(np.concatenate(keys), np.concatenate(fps)).tolist()
+        new = [link for link in links if sets.joins(*link)]
+        return pa.RecordBatch.from_arrays([pa.array([x[i] for x in new], pa.int64()) for i in (0, 1)], ["a", "b"])
 
     keys, fps = [], []
     for b in batches:
@@ -149,8 +172,8 @@ def _sorted_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def links(fps: DataFrame) -> DataFrame:
     """Links (a < b) that connect all fingerprints of ``fps`` (distinct, column fp) at most four bits apart.
 
-    Short runs give all their links, long ones a spanning forest: the components are
-    those of all links. Keys are lengthened by blocks once the average run would pass
+    Each task gives a spanning forest of the links it finds: the components are those
+    of all links. Keys are lengthened by blocks once the average run would pass
     ``OCCUPANCY``; both ways find every link.
     """
     blocks = 1 if fps.count() <= OCCUPANCY << SEGMENTS[-1][1] else MOST_BITS + 1

@@ -1,7 +1,7 @@
 """Toxicity: a linear classifier on character n-grams scaled by naive Bayes log-count ratios.
 
-A feature is a character n-gram (3 to 5, within a word and its borders, hashed); it
-counts once a text. Its value is the log ratio of its smoothed shares in toxic and in
+A feature is a character n-gram of the text (3 to 5 code points, A-Z in lower case, hashed);
+it counts once a text. Its value is the log ratio of its smoothed shares in toxic and in
 other texts. Logistic regression learns the weights on the features that separate the
 classes best.
 
@@ -9,7 +9,7 @@ Bounds: the classifier learns from at most about ``TRAIN_ROWS`` labelled rows, c
 by a hash of doc_id, with whole texts; it keeps ``FEATURES`` features. Scoring reads all
 texts whole.
 
-Defined cases: null and wordless texts have no feature and get the score of the
+Defined cases: null and empty texts have no feature and get the score of the
 intercept. Labels without a document, with a null doc_id or a null mark teach nothing;
 a doc_id that is labelled or stored twice counts each time. Without both classes the
 score is the share of toxic rows, 0 without rows.
@@ -18,7 +18,6 @@ score is the share of toxic rows, 0 without rows.
 from __future__ import annotations
 
 import math
-import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -36,48 +35,50 @@ NGRAMS = (3, 4, 5)
 TRAIN_ROWS = 20_000
 FEATURES = 8_192
 LEAST_TEXTS = 3
+#: Log ratios nearer to 0 say little and make the fit ill-conditioned.
+LEAST_RATIO = 0.7
 THRESHOLD = 0.3
-#: Words a task remembers; the memory is emptied when it is full.
-REMEMBERED = 200_000
+#: Bytes of text that a task turns into arrays at once.
+AT_ONCE = 1 << 21
 
 
 @dataclass
 class Model:
-    """Weights by n-gram bucket; a text's score is the logistic of their sum."""
+    """Chosen n-gram buckets and their weights; a text's score is the logistic of their sum."""
 
     bias: float = -math.inf
-    weights: dict[int, float] = field(default_factory=dict)
+    buckets: np.ndarray = field(default_factory=lambda: np.empty(0, np.int64))
+    weights: np.ndarray = field(default_factory=lambda: np.empty(0))
 
 
-def word_buckets(word: bytes) -> set[int]:
-    """Buckets of the n-grams of a word with its borders marked."""
-    marked = f"\x02{word.decode()}\x03"
-    return {
-        zlib.crc32(marked[i : i + n].encode()) % BUCKETS
-        for n in NGRAMS
-        for i in range(max(1, len(marked) - n + 1))
-    }
+def _hashes(points: np.ndarray, n: int) -> np.ndarray:
+    """Bucket of the n-gram that begins at each code point."""
+    h = np.zeros(max(0, len(points) - n + 1), np.uint32)
+    for i in range(n):
+        h = h * np.uint32(0x01000193) + points[i : i + len(h)]
+    h = (h + np.uint32(n)) * np.uint32(0x9E3779B1)
+    return h >> np.uint32(32 - BUCKETS.bit_length() + 1)
 
 
-class Features:
-    """Buckets of a text, of all n-grams or of a chosen set."""
+def present(texts: list[bytes], place: np.ndarray, width: int) -> Iterator[np.ndarray]:
+    """For each text, which of ``width`` features it holds; ``place`` maps buckets to features or to ``width``.
 
-    def __init__(self, chosen: set[int] | None = None) -> None:
-        self.chosen = chosen
-        self.known: dict[bytes, frozenset[int]] = {}
+    White space counts as a space; a space stands before and after the text.
+    """
+    framed = [b" %b " % t.lower().translate(_SPACES) for t in texts]
+    points = np.frombuffer(b"".join(framed).decode().encode("utf-32-le"), np.uint32)
+    size = [len(t.decode()) for t in framed]
+    found = [place[_hashes(points, n)] for n in NGRAMS]
+    at = 0
+    for length in size:
+        seen = np.zeros(width + 1, bool)
+        for n, f in zip(NGRAMS, found):
+            seen[f[at : max(at, at + length - n + 1)]] = True
+        yield seen[:width]
+        at += length
 
-    def of_word(self, word: bytes) -> frozenset[int]:
-        found = word_buckets(word)
-        return frozenset(found if self.chosen is None else found & self.chosen)
 
-    def of_text(self, text: bytes) -> set[int]:
-        words = set(text.lower().split())
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        known = self.known
-        for w in words - known.keys():
-            known[w] = self.of_word(w)
-        return set().union(*map(known.__getitem__, words))
+_SPACES = bytes(32 if c in b"\t\n\x0b\x0c\r" else c for c in range(256))
 
 
 def may_teach(doc_id: str = "doc_id"):
@@ -103,16 +104,16 @@ def training_rows(docs: DataFrame, labels: DataFrame, most: int = TRAIN_ROWS) ->
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """How many toxic and other texts of a task hold each bucket."""
-    counts, features = np.zeros((2, BUCKETS), np.int64), Features()
-    for b in slices(batches, "text"):
-        for toxic, text in zip(b.column("toxic").to_pylist(), b.column("text").to_pylist()):
-            counts[toxic, list(features.of_text(text))] += 1
+    counts, every = np.zeros((2, BUCKETS), np.int64), np.arange(BUCKETS)
+    for b in slices(batches, "text", AT_ONCE):
+        for toxic, seen in zip(b.column("toxic").to_pylist(), present(b.column("text").to_pylist(), every, BUCKETS)):
+            counts[toxic, np.flatnonzero(seen)] += 1
     at = np.flatnonzero(counts.any(axis=0))
     yield pa.RecordBatch.from_arrays([pa.array(x) for x in (at, counts[1, at], counts[0, at])], ["bucket", "pos", "neg"])
 
 
 def _ratios(train: DataFrame, n_pos: int, n_neg: int) -> list:
-    """(bucket, log-count ratio) of the features that separate best."""
+    """(bucket, log-count ratio, texts with it) of the features that separate best."""
     counts = staged(
         train.mapInArrow(_count, "bucket long, pos long, neg long").groupBy("bucket").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg")),
         "ngrams",
@@ -121,8 +122,8 @@ def _ratios(train: DataFrame, n_pos: int, n_neg: int) -> list:
     ratio = F.log((F.col("pos") + 1) / F.lit(float(all_pos + n))) - F.log((F.col("neg") + 1) / F.lit(float(all_neg + n)))
     pooled = (F.col("pos") + F.col("neg") + 1) / F.lit(n_pos + n_neg + 2.0)
     apart = F.abs(F.col("pos") / F.lit(float(n_pos)) - F.col("neg") / F.lit(float(n_neg))) / F.sqrt(pooled * (1 - pooled))
-    best = counts.where(F.col("pos") + F.col("neg") >= LEAST_TEXTS).orderBy(apart.desc(), "bucket").limit(FEATURES)
-    found = best.select("bucket", ratio.alias("ratio")).collect()
+    best = counts.where((F.col("pos") + F.col("neg") >= LEAST_TEXTS) & (F.abs(ratio) >= LEAST_RATIO)).orderBy(apart.desc(), "bucket").limit(FEATURES)
+    found = best.select("bucket", ratio.alias("ratio"), "pos", "neg").collect()
     drop_staged(counts)
     return found
 
@@ -137,30 +138,42 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     ratios = _ratios(train, n_pos, n_neg)
     if not ratios:
         return Model(math.log(n_pos / n_neg))
-    value = {int(r.bucket): (i, float(r.ratio)) for i, r in enumerate(ratios)}
-    width = len(value)
+    buckets, ratio = np.array([r.bucket for r in ratios]), np.array([r.ratio for r in ratios])
+    shares = np.array([r.pos + r.neg for r in ratios]) / (n_pos + n_neg)
+    ratio /= math.sqrt(shares @ ratio**2)  # texts have vectors of length 1 in the mean
+    place, width = places(buckets), len(buckets)
 
-    known = Features(set(value))
-    as_vector = F.udf(lambda t: SparseVector(width, dict(value[b] for b in known.of_text(bytes(t)))), VectorUDT())
+
+    def vector(text: bytes) -> SparseVector:
+        at = np.flatnonzero(next(present([bytes(text)], place, width)))
+        return SparseVector(width, at, ratio[at])
+
+    as_vector = F.udf(vector, VectorUDT())
     rows = staged(train.select(F.col("toxic").cast("double").alias("label"), as_vector("text").alias("features")), "vectors")
     learned = LogisticRegression(maxIter=100, regParam=1e-4, standardization=False).fit(rows)
     drop_staged(rows)
     drop_staged(train)
-    w = learned.coefficients.toArray()
-    return Model(float(learned.intercept), {b: float(w[i] * r) for b, (i, r) in value.items() if w[i]})
+    return Model(float(learned.intercept), buckets, learned.coefficients.toArray() * ratio)
+
+
+def places(buckets: np.ndarray) -> np.ndarray:
+    """Feature of each bucket; the number of features for those that are none."""
+    place = np.full(BUCKETS, len(buckets), np.int32)
+    place[buckets] = np.arange(len(buckets))
+    return place
 
 
 def scorer(docs: DataFrame, model: Model):
-    """A function from texts to scores, for use inside tasks."""
-    sent = docs.sparkSession.sparkContext.broadcast((model.bias, model.weights))
+    """A function that makes, within a task, a function from texts to scores."""
+    sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def make():
-        bias, weights = sent.value
-        features = Features(set(weights))
+        model = sent.value
+        place, width = places(model.buckets), len(model.buckets)
 
-        def score(text: bytes) -> float:
-            x = bias + math.fsum(weights[b] for b in features.of_text(text))
-            return 0.0 if x < -700 else 1.0 / (1.0 + math.exp(-x))
+        def score(texts: list[bytes]) -> list[float]:
+            x = [model.bias + float(seen @ model.weights) for seen in present(texts, place, width)]
+            return [0.0 if v < -700 else 1.0 / (1.0 + math.exp(-v)) for v in x]
 
         return score
 
@@ -173,8 +186,8 @@ def scores(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         score = make()
-        for b in slices(batches, "text"):
-            found = pa.array([score(t) for t in b.column("text").to_pylist()], pa.float64())
+        for b in slices(batches, "text", AT_ONCE):
+            found = pa.array(score(b.column("text").to_pylist()), pa.float64())
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), found], ["doc_id", "held_out", "score"])
 
     rows = docs.select(F.col("doc_id").cast("long"), held_out().alias("held_out"), utf8("text").alias("text"))
@@ -188,8 +201,10 @@ def keep_civil(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         score = make()
-        for b in batches:
-            texts = b.column("text").cast(pa.binary()).to_pylist()
-            yield b.filter(pa.array([score(t or b"") < THRESHOLD for t in texts], pa.bool_()))
+        for whole in batches:
+            texts = whole.column("text").cast(pa.binary()).fill_null(b"")
+            one = pa.RecordBatch.from_arrays([texts], ["text"])
+            found = [x for b in slices(iter([one]), "text", AT_ONCE) for x in score(b.column("text").to_pylist())]
+            yield whole.filter(pa.array([x < THRESHOLD for x in found], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
