@@ -4,8 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from buyerscope.llm import decontamination, mixing, sharding, simhash, toxicity
-from buyerscope.llm.common import table, utf8
+from buyerscope.llm import decontamination, mixing, pii, quality, rollups, sharding, simhash, token_files, toxicity, warc
+from buyerscope.llm.common import table, utf8, word_count
+from buyerscope.llm.shared_files import new_folder
+
+#: Tokenizer file of op4; a parameter wherever it is used.
+TOKENIZER = "word_bpe_49k.json"
 
 
 def op1_latent_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,11 +25,54 @@ def op2_sampled_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_suffix_array_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(table(spark, sf_dir, "documents"))
+
+
+def op4_flat_uint32_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    parts = token_files.write(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
+    return token_files.read(parts).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def op5_transaction_assembly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = warc.write(table(spark, sf_dir, "pages"))
+    found = warc.payloads(warc.assemble(warc.records(spark, files)))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op6_deletion_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op7_checksums_and_context(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(table(spark, sf_dir, "documents"))
+
+
+def op8_delta_rollups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Inserts of all documents with estimated counts, the exact counts, removal of what labels call bad; two deliveries repeated.
+
+    Versions: words-1 counts words, bytes-1 counts UTF-8 bytes.
+    """
+    docs = table(spark, sf_dir, "documents")
+    exact = F.when(F.col("version") == "words-1", word_count("text")).otherwise(F.octet_length(utf8("text"))).cast("long")
+    each = docs.withColumn("version", F.explode(F.array(F.lit("words-1"), F.lit("bytes-1"))))
+    estimate = F.ceil(F.coalesce("n_chars", F.lit(0)) / F.when(F.col("version") == "words-1", 6).otherwise(1))
+    rows = each.select("doc_id", *rollups.KEYS, estimate.alias("n_tokens"), exact.alias("new_tokens"))
+    bad = table(spark, sf_dir, "labels").where("quality = 0").select("doc_id").distinct()
+    gone = rows.join(bad, "doc_id", "left_semi").withColumn("n_tokens", F.col("new_tokens"))
+    totals = rollups.Rollup(spark, new_folder(spark, "rollup"))
+    totals.commit("1-insert", rollups.insert(rows))
+    totals.commit("2-revise", rollups.revise(rows))
+    totals.commit("2-revise", rollups.revise(rows))
+    totals.compact()
+    totals.commit("3-delete", rollups.delete(gone))
+    totals.commit("1-insert", rollups.insert(rows))
+    return totals.totals()
+
+
 def op9_naive_bayes_ngrams(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return toxicity.scores(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
@@ -42,9 +89,24 @@ def op10_pareto_order(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_latent_decontamination": op1_latent_decontamination,
     "op2_sampled_splitters": op2_sampled_splitters,
+    "op3_suffix_array_repetition": op3_suffix_array_repetition,
+    "op4_flat_uint32_files": op4_flat_uint32_files,
+    "op5_transaction_assembly": op5_transaction_assembly,
     "op6_deletion_variants": op6_deletion_variants,
+    "op7_checksums_and_context": op7_checksums_and_context,
+    "op8_delta_rollups": op8_delta_rollups,
     "op9_naive_bayes_ngrams": op9_naive_bayes_ngrams,
     "op10_pareto_order": op10_pareto_order,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE = {
+    "op8_delta_rollups": r"""
+WITH exact AS (
+  SELECT source, lang, v.version,
+    CASE v.version WHEN 'words-1' THEN len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) ELSE strlen(coalesce(text, '')) END AS n
+  FROM documents CROSS JOIN (SELECT unnest(['words-1', 'bytes-1']) AS version) v
+  WHERE doc_id IS NULL OR doc_id NOT IN (SELECT doc_id FROM labels WHERE quality = 0 AND doc_id IS NOT NULL)
+)
+SELECT source, lang, version, count(*) AS docs, CAST(sum(n) AS BIGINT) AS tokens
+FROM exact GROUP BY source, lang, version""",
+}
