@@ -67,7 +67,7 @@ class Encoder:
         kinds = {n["type"] for n in (plan["normalizer"] or {}).get("normalizers", [])}
         return bool(
             first.get("type") == "Split" and first.get("behavior") == "Removed" and first.get("invert")
-            and r"[\p{L}]+" in str(first.get("pattern")) and plan["post_processor"] is None
+            and r"[\p{L}]+" in first["pattern"].get("Regex", "") and plan["post_processor"] is None
             and plan["model"].get("end_of_word_suffix") and kinds <= known
             and not any(t["lstrip"] or t["rstrip"] or t["single_word"] for t in plan["added_tokens"])
         )

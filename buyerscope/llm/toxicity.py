@@ -99,7 +99,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, most: int = TRAIN_ROWS) ->
     sample = marked.where(share * F.lit(total) < F.lit(most << 20))
     if sample.count() <= 2 * most:  # a label repeated very often may pass the bound
         sample = F.broadcast(sample)
-    return staged(docs.join(sample, docs["doc_id"] == F.col("id")).select("toxic", utf8("text").alias("text")), "train")
+    texts = docs.select("doc_id", utf8("text").alias("text"))
+    return staged(texts.join(sample, F.col("doc_id") == F.col("id")).select("toxic", "text"), "train")
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -150,7 +151,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
 
     as_vector = F.udf(vector, VectorUDT())
     rows = staged(train.select(F.col("toxic").cast("double").alias("label"), as_vector("text").alias("features")), "vectors")
-    learned = LogisticRegression(maxIter=100, regParam=1e-4, standardization=False).fit(rows)
+    learned = LogisticRegression(maxIter=60, regParam=1e-5, standardization=False).fit(rows)
     drop_staged(rows)
     drop_staged(train)
     return Model(float(learned.intercept), buckets, learned.coefficients.toArray() * ratio)
