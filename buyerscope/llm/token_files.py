@@ -1,12 +1,13 @@
-"""Token-ID files: flat unsigned 32-bit integers with 64-bit document offsets.
+"""Token-ID files: flat unsigned integers with 64-bit document offsets.
 
 Documents are dealt to ranges of doc_id and sorted; each range becomes one part:
 
-    <part>.bin   little-endian uint32, the ids of its documents one after another
+    <part>.bin   the ids of its documents one after another, little-endian and unsigned: 16 bits
+                 where all ids of the tokenizer fit, 32 otherwise
     <part>.idx   little-endian int64, where each document begins, then the end
     <part>.ids   little-endian int64 doc_ids; null ones come last, their number is in the table of parts
 
-The table of parts (part, base, n_docs, n_null, n_tokens, file) is the index of the data
+The table of parts (part, base, n_docs, n_null, n_tokens, width, file) is the index of the data
 set; base, the ids in all parts before, is a prefix sum over the parts. Only this table,
 a row a part, reaches the driver. A lost task writes a new file; the table names the
 files of the attempts that counted.
@@ -23,7 +24,6 @@ rows with equal doc_ids stand side by side by text; an empty table gives no rows
 from __future__ import annotations
 
 import json
-import zlib
 from collections.abc import Iterator
 from itertools import accumulate
 
@@ -37,12 +37,22 @@ from buyerscope.llm.shared_files import attempt_name, mapped, new_folder, one_ta
 
 END_ID = 1
 #: Pieces a task remembers; the memory is emptied when it is full.
-REMEMBERED = 400_000
+REMEMBERED = 600_000
 _TAIL = b".,;:!?"
 
 
+_encoders: dict[str, Encoder] = {}
+
+
+def encoder(path: str) -> Encoder:
+    """The encoder of a tokenizer file; a worker process keeps it, and what it remembers, for its next task."""
+    if path not in _encoders:
+        _encoders[path] = Encoder(path)
+    return _encoders[path]
+
+
 class Encoder:
-    """Texts to ids, as the bytes of unsigned 32-bit integers."""
+    """Texts to ids, as the bytes of unsigned integers of ``kind``."""
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
@@ -53,7 +63,9 @@ class Encoder:
         self.by_piece = self._splits_at_space(plan)
         self.known: dict[bytes, bytes] = {}
         vocabulary = self.tokenizer.get_vocab()
-        self.word_end = np.zeros(max(vocabulary.values()) + 1, bool)
+        most = max(vocabulary.values())
+        self.kind = "<u2" if most < 1 << 16 else "<u4"
+        self.word_end = np.zeros(most + 1, bool)
         if self.by_piece:
             suffix = plan["model"]["end_of_word_suffix"]
             self.word_end[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
@@ -69,42 +81,40 @@ class Encoder:
             first.get("type") == "Split" and first.get("behavior") == "Removed" and first.get("invert")
             and r"[\p{L}]+" in first["pattern"].get("Regex", "") and plan["post_processor"] is None
             and plan["model"].get("end_of_word_suffix") and kinds <= known
-            and not any(t["lstrip"] or t["rstrip"] or t["single_word"] for t in plan["added_tokens"])
+            and "Lowercase" in kinds
+            and all(t["content"].startswith("<|") and not (t["lstrip"] or t["rstrip"] or t["single_word"]) for t in plan["added_tokens"])
         )
 
     def _plain(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
+        return [np.array(e.ids, self.kind).tobytes() for e in found]
 
     def _words(self, words: list[str]) -> list[bytes]:
         """Ids of words of letters: encoded side by side and cut where a token ends a word."""
-        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, "<u4")
+        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, self.kind)
         ends = np.flatnonzero(self.word_end[ids]) + 1
         if len(ends) != len(words):
             return self._plain(words)
         raw = ids.tobytes()
-        return [raw[4 * a : 4 * b] for a, b in zip(np.r_[0, ends[:-1]].tolist(), ends.tolist())]
+        edge = (np.r_[0, ends] * ids.itemsize).tolist()
+        return [raw[a:b] for a, b in zip(edge[:-1], edge[1:])]
 
     def _learn(self, pieces: list[bytes]) -> None:
         """Encode pieces not met before; letters with a tail of marks share the ids of the letters."""
         known, cores, odd = self.known, {}, []
         for piece in pieces:
             core = piece.rstrip(_TAIL)
-            if core.isalpha():  # ASCII letters only
-                cores[piece] = core.lower()
-            elif core.decode().isalpha():
+            if core.isalpha() or core.decode().isalpha():
                 cores[piece] = core
             else:
                 odd.append(piece)
-        new = sorted({c for c in cores.values()} - known.keys())
+        new = list(set(cores.values()) - known.keys())
         for at in range(0, len(new), 2000):
             part = new[at : at + 2000]
-            known.update(zip(part, self._words([c.decode() for c in part])))
-        for piece, core in cores.items():
-            tail = piece[len(core) :]
-            if tail and tail not in known:
-                known[tail] = self._plain([tail.decode()])[0]
-            known[piece] = known[core] + (known[tail] if tail else b"")
+            known.update(zip(part, self._words(b" ".join(part).decode().split(" "))))
+        tails = {p[len(c) :] for p, c in cores.items()} - known.keys()
+        known.update(zip(tails, self._plain([t.decode() for t in tails])))
+        known.update([(p, known[c] + known[p[len(c) :]]) for p, c in cores.items() if len(p) > len(c)])
         known.update(zip(odd, self._plain([p.decode() for p in odd])))
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
@@ -113,7 +123,8 @@ class Encoder:
             return self._plain([t.decode() for t in texts])
         if len(self.known) > REMEMBERED:
             self.known.clear()
-        pieces = [t.split() for t in texts]
+        # A-Z may be lowered before, as the tokenizer does it, but where a special token could come of it
+        pieces = [(t if b"<|" in t else t.lower()).split() for t in texts]
         if new := set().union(*pieces) - self.known.keys():
             self._learn(list(new))
         return [b"".join(map(self.known.__getitem__, p)) for p in pieces]
@@ -126,49 +137,49 @@ def write(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> DataFrame:
     """
     spark = docs.sparkSession
     folder = new_folder(spark, "tokens")
-    end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer)
+        own = encoder(tokenizer)
+        end = np.array([end_id], own.kind).tobytes()
         part = TaskContext.get().partitionId()
         uri = f"{folder}/{attempt_name(part)}"
         where, path = opened(uri)
         size, ids = [], []
         with where.open_output_stream(path + ".bin") as file:
             for b in slices(batches, "text", 1 << 21):
-                encoded = [x + end for x in encoder.encode(b.column("text").to_pylist())]
+                encoded = [x + end for x in own.encode(b.column("text").to_pylist())]
                 file.write(b"".join(encoded))
-                size += [len(x) // 4 for x in encoded]
+                size += [len(x) // len(end) for x in encoded]
                 ids += b.column("doc_id").to_pylist()
         with where.open_output_stream(path + ".idx") as file:
             file.write(np.r_[0, np.cumsum(np.array(size, np.int64))].astype("<i8").tobytes())
         with where.open_output_stream(path + ".ids") as file:
             file.write(np.array([i or 0 for i in ids], "<i8").tobytes())
-        row = [part, len(ids), sum(i is None for i in ids), sum(size), uri]
-        yield pa.RecordBatch.from_pylist([dict(zip(("part", "n_docs", "n_null", "n_tokens", "file"), row))])
+        row = [part, len(ids), sum(i is None for i in ids), sum(size), len(end), uri]
+        yield pa.RecordBatch.from_pylist([dict(zip(("part", "n_docs", "n_null", "n_tokens", "width", "file"), row))])
 
     rows = docs.select(F.col("doc_id").cast("long"), utf8("text").alias("text"))
     order = [F.col("doc_id").asc_nulls_last(), F.xxhash64("text"), F.rand(7)]
     dealt = rows.repartitionByRange(*order).sortWithinPartitions(*order[:2])
-    schema = "part long, n_docs long, n_null long, n_tokens long, file string"
+    schema = "part long, n_docs long, n_null long, n_tokens long, width long, file string"
     parts = sorted(tuple(r) for r in dealt.mapInArrow(run, schema).collect())
     base = [0, *accumulate(p[3] for p in parts)]
     rows = [(p[0], b, *p[1:]) for p, b in zip(parts, base)]
-    return one_task_each(spark, rows, "part long, base long, n_docs long, n_null long, n_tokens long, file string")
+    return one_task_each(spark, rows, "part long, base long, n_docs long, n_null long, n_tokens long, width long, file string")
 
 
 def read(parts: DataFrame) -> DataFrame:
-    """(doc_id, start, n_tokens, ids) of every document; ids are the bytes of its file."""
+    """(doc_id, start, n_tokens, ids) of every document; ids as little-endian unsigned 32-bit integers."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for p in b.to_pylist():
-                flat, offset, ids = (mapped(f"{p['file']}.{x}", k) for x, k in (("bin", "<u4"), ("idx", "<i8"), ("ids", "<i8")))
+                flat, offset, ids = (mapped(f"{p['file']}.{x}", k) for x, k in (("bin", f"<u{p['width']}"), ("idx", "<i8"), ("ids", "<i8")))
                 missing = np.arange(len(ids)) >= len(ids) - p["n_null"]
                 for at in range(0, len(ids), 1000):
                     some = slice(at, at + 1000)
                     edge = offset[at : at + 1001]
-                    raw = [flat[x:y].tobytes() for x, y in zip(edge[:-1], edge[1:])]
+                    raw = [flat[x:y].astype("<u4").tobytes() for x, y in zip(edge[:-1], edge[1:])]
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(ids[some], mask=missing[some]), pa.array(p["base"] + edge[:-1]), pa.array(np.diff(edge)), pa.array(raw, pa.binary())],
                         ["doc_id", "start", "n_tokens", "ids"],
