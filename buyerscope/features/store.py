@@ -148,8 +148,8 @@ def select_features(
 ) -> DataFrame:
     """``cust_id`` plus the named features, running only the passes they need.
 
-    Customers come from the pass over sales where that one runs; otherwise only the
-    customers that have rows in the passes that do run are returned.
+    Every customer of ``items`` gets a row. The pass over sales sees them all; without it
+    they are listed by one more grouping, and those without a value get 0.
     """
     split = split or hot_split(items, settings)
     sources = {part for n in names for part in _source(n).split("+")}
@@ -182,6 +182,8 @@ def select_features(
         return out
 
     wide = split.run(items, job)
+    if "sales" not in sources:
+        wide = items.select("cust_id").distinct().join(wide, "cust_id", "left")
     if "recency_days" in names:
         wide = with_recency(wide, items)
     if any(n.startswith("median_") for n in names):

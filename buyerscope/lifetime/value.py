@@ -41,13 +41,14 @@ class PurchaseModel:
 
         Euler's transformation takes the frequency out of the upper parameters of the
         hypergeometric function, which leaves a series that shrinks at least as fast as
-        powers of z. z is largest for a customer of age 0, and that bounds the length.
+        powers of z; each row's length follows from its own z. The formula divides by
+        a - 1, so an a within a millionth of 1 is taken as that far from 1.
         """
-        r, alpha, a, b = self.r, self.alpha, self.a, self.b
+        r, alpha, b = self.r, self.alpha, self.b
+        a = self.a if abs(self.a - 1) > 1e-6 else 1 + 1e-6
         x, rec, age = F.col("frequency"), F.col("recency"), F.col("T")
         z = F.lit(horizon) / (F.lit(alpha) + age + F.lit(horizon))
-        top = horizon / (alpha + horizon)
-        length = min(5000, max(20, math.ceil(math.log(1e-13) / math.log(top)) + 20))
+        length = F.greatest(F.lit(20), F.ceil(F.lit(math.log(1e-13)) / F.log(z)) + 20).cast("int")
         c = F.lit(a + b - 1) + x
         start = F.struct(F.lit(1.0).alias("term"), F.lit(1.0).alias("total"), c.alias("c"), z.alias("z"))
 
@@ -59,7 +60,7 @@ class PurchaseModel:
                 acc["c"].alias("c"), acc["z"].alias("z"),
             )
 
-        steps = F.transform(F.sequence(F.lit(0), F.lit(length)), lambda n: n.cast("double"))
+        steps = F.transform(F.sequence(F.lit(0), length), lambda n: n.cast("double"))
         series = F.aggregate(steps, start, add, lambda acc: acc["total"])
         gone = F.lit(1.0) - F.pow(F.lit(1.0) - z, F.lit(a - 1)) * series
         odds = (F.lit(a) / (F.lit(b) + F.greatest(x, F.lit(1)) - 1)) * F.pow(
@@ -82,8 +83,8 @@ class SpendModel:
         x, m = F.col("frequency"), F.col("monetary_value")
         px = F.lit(self.p) * x
         own = px / (px + F.lit(self.q - 1))
-        everyone = self.v * self.p / (self.q - 1)
-        value = (F.lit(1.0) - own) * F.lit(everyone) + own * m
+        everyone = F.lit(self.v * self.p) / (px + F.lit(self.q - 1))  # weighted, so q = 1 is no special case
+        value = everyone + own * m
         return F.when((x > 0) & (m > 0), F.greatest(value, F.lit(0.0))).otherwise(F.lit(0.0))
 
 

@@ -192,7 +192,9 @@ def histogram(df: DataFrame, x: Column, bins: int = 60) -> DataFrame:
     """Equal-width bins from min to max; the largest value falls in the last bin."""
     values = df.select(x.cast("double").alias("x")).where(F.col("x").isNotNull())
     ends = values.agg(F.struct(F.min("x").alias("lo"), F.max("x").alias("hi"))).scalar()
-    bin_of = F.width_bucket("x", ends["lo"], ends["hi"], F.lit(bins))
+    # equal values lie in the middle of an interval of width 1
+    half = F.when(ends["lo"] == ends["hi"], 0.5).otherwise(0.0)
+    bin_of = F.width_bucket("x", ends["lo"] - half, ends["hi"] + half, F.lit(bins))
     placed = values.select(F.least(bin_of, F.lit(bins)).alias("bin"))
     return placed.groupBy("bin").agg(F.count("*").alias("n"))
 

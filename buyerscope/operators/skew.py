@@ -21,18 +21,23 @@ from pyspark.sql import DataFrame, functions as F
 
 SALT = "_salt"
 SALTS = 256
+#: Rows that one task takes of a key at any size of the table.
+CEILING = 20_000_000
 
 
 def hot_keys(df: DataFrame, key: str, share: float, floor: int) -> list:
-    """Keys above ``max(floor, share * rows)`` rows; never more than ``1 / share``."""
+    """Keys above ``max(floor, share * rows)`` rows, or above ``CEILING`` if that is less.
+
+    There can be no more than rows / bar of them.
+    """
     counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
     top = counts.agg(F.sum("n").alias("total"), F.max("n").alias("largest")).first()
     if top.total is None:
         return []
-    bar = max(floor, share * top.total)
+    bar = min(CEILING, max(floor, share * top.total))
     if top.largest <= bar:
         return []
-    most = math.ceil(1 / share)
+    most = math.ceil(top.total / bar)
     return [r[0] for r in counts.where(F.col("n") > bar).select(key).take(most)]
 
 

@@ -39,7 +39,7 @@ def _placed(df: DataFrame, groups: list[str], key: str, seed: int) -> DataFrame:
         .drop("_n")
     )
     inside = Window.partitionBy(*groups, "_b").orderBy("_h", key)
-    return marked.join(F.broadcast(sizes), [*groups, "_b"]).withColumn(
+    return marked.join(sizes, [*groups, "_b"]).withColumn(
         "_pos", F.col("_below") + F.row_number().over(inside)
     )
 

@@ -89,10 +89,6 @@ FAMILIES: dict[str, list[str]] = {
     "customer_features": store.kept_features(),
 }
 
-# Families that run without the pass over sales list only customers with kept orders.
-_KEPT_ONLY = {"order_gaps", "recent_gap_trend", "fast_repeat", "calendar_entropy"}
-
-
 # Families fed by more than one pass read a staged table, so that the joins behind the
 # transactions run once.
 _SEVERAL_PASSES = {"calendar_features", "window_activity", "window_ratios", "customer_features", "returns_features"}
@@ -172,11 +168,7 @@ def _first_table_check() -> str:
 
 
 ORACLE = {
-    name: feature_check(
-        cols,
-        "WHERE cust_id IN (SELECT cust_id FROM k WHERE order_date IS NOT NULL)" if name in _KEPT_ONLY else "",
-    )
-    for name, cols in FAMILIES.items()
+    name: feature_check(cols) for name, cols in FAMILIES.items()
 }
 ORACLE["customer_features_full"] = feature_check(store.catalogue())
 ORACLE["customer_features_hot_path"] = feature_check(store.kept_features())

@@ -153,11 +153,11 @@ def zero_share(spark, d):
 @_add(
     "duplicate_rows",
     f"{WITH}\nSELECT {sql_int('sum(n - 1)', 'n_duplicates')}, {sql_num('sum(n - 1) * 100.0 / sum(n)', 'pct_duplicates')} "
-    "FROM (SELECT cust_id, order_date, prod_type_1, is_returned, count(*) AS n FROM tx GROUP BY ALL)",
+    "FROM (SELECT *, count(*) AS n FROM tx GROUP BY ALL)",
 )
 def duplicate_rows(spark, d):
     items = view.transactions(spark, d)
-    return shaped(profile.duplicate_rows(items.select("cust_id", "order_date", "prod_type_1", "is_returned")))
+    return shaped(profile.duplicate_rows(items))
 
 
 def _fence_sql(tail: str) -> str:

@@ -28,8 +28,12 @@ def read_transactions_csv(spark: SparkSession, path: str) -> DataFrame:
     """Transactions from CSV: whatever columns the header names, read as text, then typed.
 
     Only the header decides which columns exist, so files lacking optional columns work.
+    All files must have the same header: one with other names or another order fails.
     """
-    raw = spark.read.option("header", True).option("inferSchema", False).csv(path)
+    reader = spark.read.option("header", True)
+    names = reader.option("inferSchema", False).csv(path).columns
+    text = T.StructType([T.StructField(n, T.StringType()) for n in names])
+    raw = reader.option("enforceSchema", False).schema(text).csv(path)
     return type_transactions(raw)
 
 

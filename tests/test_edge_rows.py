@@ -3,6 +3,7 @@
 from datetime import date, datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from buyerscope.features import preferences, store
 from buyerscope.functions import exprs as x
@@ -199,3 +200,27 @@ def test_prepare_frames_decides_on_training_rows(spark):
 def test_preview_of_negative_rows(spark):
     rows = [row(1, i, DAY0, float(v)) for i, v in enumerate((-3, -1, 2))]
     assert profile.preview_negative(items(spark, rows), "sale_revenue").count() == 2
+
+
+def test_histogram_of_equal_values_fills_the_middle_bin(spark):
+    rows = profile.histogram(spark.createDataFrame([(3.0,), (3.0,), (None,)], "x double"), F.col("x")).collect()
+    assert [(r.bin, r.n) for r in rows] == [(31, 2)]
+
+
+def test_long_series_and_parameters_at_one(spark):
+    from buyerscope.lifetime.value import PurchaseModel, SpendModel
+
+    row = spark.createDataFrame([(0, 0.0, 0.0, 0.0), (3, 40.0, 50.0, 20.0)], "frequency int, recency double, T double, monetary_value double")
+    model = PurchaseModel(r=0.5, alpha=1.0, a=1.5, b=2.0)
+    got = [r[0] for r in row.select(model.expected_purchases(20_000.0)).collect()]
+    z, term, total = 20_000 / 20_001, 1.0, 1.0
+    for n in range(2_000_000):
+        term *= (model.a + model.b - 1 - model.r + n) * (model.a - 1 + n) / ((model.a + model.b - 1 + n) * (n + 1)) * z
+        total += term
+    want = (model.a + model.b - 1) / (model.a - 1) * (1 - (1 - z) ** (model.a - 1) * total)
+    assert abs(got[0] - want) < 1e-9 * abs(want)
+    near, at = (
+        [r[0] for r in row.select(PurchaseModel(r=0.5, alpha=3.0, a=a, b=2.0).expected_purchases(30.0)).collect()] for a in (1.0001, 1.0)
+    )
+    assert all(abs(x - y) < 1e-3 * abs(x) for x, y in zip(near, at))
+    assert [r[0] for r in row.select(SpendModel(p=2.0, q=1.0, v=5.0).expected_average()).collect()] == [0.0, 10.0 / 6 + 20.0]
