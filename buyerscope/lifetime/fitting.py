@@ -82,9 +82,12 @@ def maximise(
     start: list[float],
     penalty: float,
     tolerance: float = 1e-9,
-    steps: int = 60,
+    steps: int = 200,
 ) -> np.ndarray:
-    """Positive parameters that minimise minus the mean log-likelihood plus a squared penalty."""
+    """Positive parameters that minimise minus the mean log-likelihood plus a squared penalty.
+
+    The fit ends when no step gains more than ``tolerance``; it fails if that takes more than ``steps``.
+    """
 
     def cost(logs: np.ndarray) -> np.ndarray:
         params = np.exp(np.clip(logs, -30, 30))
@@ -112,6 +115,6 @@ def maximise(
         found = cost(np.array(tries))
         best = int(np.argmin(found))
         if not found[best] < f[0] - tolerance:
-            break
+            return np.exp(at)
         at = tries[best]
-    return np.exp(at)
+    raise RuntimeError(f"the fit still gains after {steps} steps")

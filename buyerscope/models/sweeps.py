@@ -47,9 +47,9 @@ def ranked_truth(preds: DataFrame, y: str = "y", key: str = "cust_id") -> DataFr
     return staged(with_rank(staged(preds, "predictions"), y, "y_rank", [key]), "ranked")
 
 
-def threshold_sweep(preds: DataFrame, values=PIPELINE_THRESHOLDS) -> DataFrame:
-    """``threshold, pred_buyers, MAE, Spearman`` of the hard rule at every threshold."""
-    rows = ranked_truth(preds).select("y", "y_rank", "p_buy", "amount", grid(values, 100.0, "threshold"))
+def threshold_sweep(preds: DataFrame, values=PIPELINE_THRESHOLDS, unit: float = 100.0) -> DataFrame:
+    """``threshold, pred_buyers, MAE, Spearman`` of the hard rule at every threshold (value / unit)."""
+    rows = ranked_truth(preds).select("y", "y_rank", "p_buy", "amount", grid(values, unit, "threshold"))
     buys = (F.col("p_buy") >= F.col("threshold")).cast("long")
     scored = rows.withColumn("pred", hard_score("p_buy", "amount", F.col("threshold")))
     out = grid_metrics(scored, ["threshold"], "y", "y_rank", "pred", [buys])
@@ -66,13 +66,13 @@ def soft_metrics(preds: DataFrame) -> DataFrame:
     return grid_metrics(rows, [], "y", "y_rank", "pred").select("MAE", "Spearman")
 
 
-def strategy_choice(preds: DataFrame, values=PIPELINE_THRESHOLDS) -> DataFrame:
+def strategy_choice(preds: DataFrame, values=PIPELINE_THRESHOLDS, unit: float = 100.0) -> DataFrame:
     """One row: soft and best hard result side by side, and the one that is chosen."""
     ranked = ranked_truth(preds)
     soft = soft_metrics(ranked).select(
         F.col("MAE").alias("mae_expected"), F.col("Spearman").alias("spearman_expected"), F.lit(1).alias("_j")
     )
-    hard = best_threshold(threshold_sweep(ranked, values)).select(
+    hard = best_threshold(threshold_sweep(ranked, values, unit)).select(
         F.col("threshold").alias("best_threshold"),
         F.col("MAE").alias("best_threshold_mae"),
         F.col("Spearman").alias("best_threshold_spearman"),
@@ -91,9 +91,9 @@ def strategy_choice(preds: DataFrame, values=PIPELINE_THRESHOLDS) -> DataFrame:
 
 
 def alpha_sweep(preds: DataFrame, values=ALPHAS) -> DataFrame:
-    """MAE and Spearman of ``p^alpha * amount``."""
+    """MAE and Spearman of ``p^alpha * amount``, rounded so that powers equal but for the last bit tie."""
     rows = ranked_truth(preds).select("y", "y_rank", "p_buy", "amount", grid(values, 10.0, "alpha"))
-    scored = rows.withColumn("pred", clip0(F.pow("p_buy", "alpha") * clip0("amount")))
+    scored = rows.withColumn("pred", F.round(clip0(F.pow("p_buy", "alpha") * clip0("amount")), 6))
     return grid_metrics(scored, ["alpha"], "y", "y_rank", "pred").select("alpha", "MAE", "Spearman")
 
 

@@ -136,7 +136,7 @@ def predict(classifier: Model, regressor: Model, rows: DataFrame) -> DataFrame:
     return scored.drop("features")
 
 
-def evaluate(preds: DataFrame, thresholds=sweeps.PIPELINE_THRESHOLDS) -> DataFrame:
+def evaluate(preds: DataFrame, thresholds=sweeps.PIPELINE_THRESHOLDS, unit: float = 100.0) -> DataFrame:
     """AUC, both strategies and the choice between them as one row.
 
     ``preds`` has cust_id, y, p_buy and amount; it is staged once and every metric
@@ -144,7 +144,7 @@ def evaluate(preds: DataFrame, thresholds=sweeps.PIPELINE_THRESHOLDS) -> DataFra
     """
     ranked = sweeps.ranked_truth(preds)
     area = auc(ranked.withColumn("buyer", (F.col("y") > 0).cast("int")), [], "buyer", "p_buy")
-    choice = sweeps.strategy_choice(ranked, thresholds)
+    choice = sweeps.strategy_choice(ranked, thresholds, unit)
     return area.withColumn("_j", F.lit(1)).join(choice.withColumn("_j", F.lit(1)), "_j").drop("_j")
 
 
@@ -201,8 +201,7 @@ class TwoStagePipeline:
         reg = fit_regressor(models["regressor"], part)
         checked = rows.where("is_validation = 1").withColumn("y", F.col("target_reg"))
         preds = sweeps.ranked_truth(predict(clf, reg, checked).select("cust_id", "y", "p_buy", "amount"))
-        grid = tuple(round(t * 100) for t in self.settings.thresholds)
-        result = staged(evaluate(preds, grid), "evaluation")
+        result = staged(evaluate(preds, self.settings.thresholds, 1.0), "evaluation")
         chosen = result.first()
         return TwoStageRun(clf, reg, names, preds, result, chosen.chosen_strategy, chosen.best_threshold)
 

@@ -11,9 +11,10 @@ from buyerscope.operators import clean
 from buyerscope.operators.skew import heavy_hitter_join
 from buyerscope.operators.split import stratified_split
 from buyerscope.plans.shape import shaped, sql_int, sql_num, sql_time
-from buyerscope.schema import TRANSACTIONS, conform, conform_columns
+from buyerscope.schema import TRANSACTIONS, conform_columns
 from buyerscope.settings import TARGET
-from buyerscope.sources import retail_view as view
+from buyerscope.sources import files, retail_view as view
+from buyerscope.sources.staging import staged_path
 
 QUERIES: dict = {}
 ORACLE: dict = {}
@@ -39,16 +40,17 @@ def _pick(source: str, *cols: str, with_: str = WITH) -> str:
 @_add(
     "scan_text_cast",
     _pick(
-        "tx", *IDS, sql_time("order_date", "order_date"), sql_time("pack_date", "pack_date"),
+        "alltx", *IDS, sql_time("order_date", "order_date"), sql_time("pack_date", "pack_date"),
         sql_num("sale_revenue", "sale_revenue"), sql_num("prod_size", "prod_size"),
         sql_int("prod_web_only", "prod_web_only"), sql_int("prod_outlet", "prod_outlet"),
         sql_int("returned_to_shop_id", "returned_to_shop_id"),
     ),
 )
 def scan_text_cast(spark: SparkSession, d: str) -> DataFrame:
-    raw = view.observed_raw(spark, d)
-    text = raw.select(*[F.col(c).cast("string").alias(c) for c in raw.columns])
-    typed = conform(text, TRANSACTIONS)
+    """Transactions written as CSV, read back as text and typed."""
+    path = staged_path(spark, "csv")
+    files.write_csv(view.raw_transactions(spark, d), path)
+    typed = files.read_transactions_csv(spark, path)
     return shaped(
         typed.select(
             "cust_id", "sale_id", "prod_id", "order_date", "pack_date", "sale_revenue",
@@ -59,12 +61,12 @@ def scan_text_cast(spark: SparkSession, d: str) -> DataFrame:
 
 @_add(
     "table_shape",
-    _pick("rawtx", sql_int("count(*)", "n_rows"), f"cast({len(TRANSACTIONS)} as bigint) AS n_columns"),
+    _pick("raw", sql_int("count(*)", "n_rows"), f"cast({len(TRANSACTIONS)} as bigint) AS n_columns"),
 )
 def table_shape(spark, d):
     from buyerscope.operators.profile import table_shape
 
-    return shaped(table_shape(view.observed_raw(spark, d)))
+    return shaped(table_shape(view.raw_transactions(spark, d)))
 
 
 _BAD_DATE = "case when prod_id % 13 = 0 then 'n/a' else cast(order_date as string) end"
@@ -72,11 +74,11 @@ _BAD_DATE = "case when prod_id % 13 = 0 then 'n/a' else cast(order_date as strin
 
 @_add(
     "cast_dates",
-    _pick("tx", *IDS, sql_time(f"try_cast({_BAD_DATE} as timestamp)", "order_ts"),
+    _pick("alltx", *IDS, sql_time(f"try_cast({_BAD_DATE} as timestamp)", "order_ts"),
           sql_time("pack_date", "pack_ts")),
 )
 def cast_dates(spark, d):
-    rows = view.transactions(spark, d).withColumn("text", F.expr(_BAD_DATE))
+    rows = view.all_transactions(spark, d).withColumn("text", F.expr(_BAD_DATE))
     return shaped(
         rows.select(
             "cust_id", "sale_id", "prod_id",
@@ -86,42 +88,42 @@ def cast_dates(spark, d):
     )
 
 
-@_add("cast_numbers", _pick("rawtx", *IDS, sql_num("try_cast(prod_size as double)", "prod_size")))
+@_add("cast_numbers", _pick("raw", *IDS, sql_num("try_cast(prod_size as double)", "prod_size")))
 def cast_numbers(spark, d):
-    raw = view.observed_raw(spark, d)
+    raw = view.raw_transactions(spark, d)
     size = x.lenient("prod_size", raw.schema["prod_size"].dataType, TRANSACTIONS["prod_size"].dataType)
     return shaped(raw.select("cust_id", "sale_id", "prod_id", F.expr(size).alias("prod_size")))
 
 
 @_add(
     "bool_tokens",
-    _pick("tx", *IDS, sql_int("prod_web_only", "prod_web_only"), sql_int("prod_outlet", "prod_outlet")),
+    _pick("alltx", *IDS, sql_int("prod_web_only", "prod_web_only"), sql_int("prod_outlet", "prod_outlet")),
 )
 def bool_tokens(spark, d):
-    raw = view.observed_raw(spark, d)
+    raw = view.raw_transactions(spark, d)
     flags = [F.expr(x.bool_token(c, raw.schema[c].dataType)).alias(c) for c in ("prod_web_only", "prod_outlet")]
     return shaped(raw.select("cust_id", "sale_id", "prod_id", *flags))
 
 
-@_add("return_flag", _pick("tx", *IDS, sql_int("is_returned", "is_returned")))
+@_add("return_flag", _pick("alltx", *IDS, sql_int("is_returned", "is_returned")))
 def return_flag(spark, d):
-    return shaped(view.transactions(spark, d).select("cust_id", "sale_id", "prod_id", "is_returned"))
+    return shaped(view.all_transactions(spark, d).select("cust_id", "sale_id", "prod_id", "is_returned"))
 
 
-@_add("days_to_pack", _pick("tx", *IDS, sql_int("days_to_pack", "days_to_pack")))
+@_add("days_to_pack", _pick("alltx", *IDS, sql_int("days_to_pack", "days_to_pack")))
 def days_to_pack(spark, d):
-    return shaped(view.transactions(spark, d).select("cust_id", "sale_id", "prod_id", "days_to_pack"))
+    return shaped(view.all_transactions(spark, d).select("cust_id", "sale_id", "prod_id", "days_to_pack"))
 
 
 @_add(
     "fill_missing",
     _pick(
-        "rawtx", *IDS,
+        "raw", *IDS,
         *[f"coalesce(cast({c} as varchar), 'missing') AS {c}" for c in clean.FILLED_COLUMNS],
     ),
 )
 def fill_missing(spark, d):
-    filled = clean.fill_missing(view.transactions(spark, d))
+    filled = clean.fill_missing(view.all_transactions(spark, d))
     return shaped(filled.select("cust_id", "sale_id", "prod_id", *clean.FILLED_COLUMNS))
 
 
@@ -134,10 +136,10 @@ _PLANTED = (
 @_add(
     "brand_synonyms",
     f"{WITH}\nSELECT brand AS prod_brand, count(*) AS n FROM (SELECT case prod_id % 7 when 0 then 'Bana' "
-    "when 1 then 'Brako' when 2 then 'Gabor' when 3 then 'Ragazzi' else prod_brand end AS brand FROM tx) GROUP BY 1",
+    "when 1 then 'Brako' when 2 then 'Gabor' when 3 then 'Ragazzi' else prod_brand end AS brand FROM alltx) GROUP BY 1",
 )
 def brand_synonyms(spark, d):
-    planted = view.transactions(spark, d).withColumn("prod_brand", F.expr(_PLANTED))
+    planted = view.all_transactions(spark, d).withColumn("prod_brand", F.expr(_PLANTED))
     merged = clean.merge_brand_spellings(planted)
     return shaped(merged.groupBy("prod_brand").agg(F.count("*").alias("n")))
 
@@ -145,12 +147,12 @@ def brand_synonyms(spark, d):
 @_add(
     "first_token",
     _pick(
-        "tx", *IDS, "trim(split_part(prod_material, ',', 1)) AS material_main",
+        "alltx", *IDS, "trim(split_part(prod_material, ',', 1)) AS material_main",
         "trim(split_part(prod_type_3, ',', 1)) AS prod_type_3_main",
     ),
 )
 def first_token(spark, d):
-    out = clean.with_first_tokens(view.transactions(spark, d))
+    out = clean.with_first_tokens(view.all_transactions(spark, d))
     return shaped(out.select("cust_id", "sale_id", "prod_id", "material_main", "prod_type_3_main"))
 
 
@@ -164,10 +166,10 @@ def _case(col: str, table: dict) -> str:
 SELECT {', '.join(IDS)}, code AS season_code, {sql_num("yr", "season_year")},
   {_case("code", x.SEASON_NAMES)} AS season, {_case("code", x.SEASON_TYPES)} AS season_type
 FROM (SELECT *, nullif(regexp_extract(prod_season, '^[A-Z]+'), '') AS code,
-  2000 + try_cast(nullif(regexp_extract(prod_season, '[0-9][0-9]$'), '') AS double) AS yr FROM tx)""",
+  2000 + try_cast(nullif(regexp_extract(prod_season, '[0-9][0-9]$'), '') AS double) AS yr FROM alltx)""",
 )
 def season_parts(spark, d):
-    out = clean.with_season_parts(view.transactions(spark, d))
+    out = clean.with_season_parts(view.all_transactions(spark, d))
     return shaped(
         out.select("cust_id", "sale_id", "prod_id", "season_code", "season_year", "season", "season_type")
     )
@@ -176,13 +178,13 @@ def season_parts(spark, d):
 @_add(
     "size_bins",
     _pick(
-        "tx", *IDS,
+        "alltx", *IDS,
         "cast(case when prod_size > 0 and prod_size <= 35 then 1 when prod_size > 35 and prod_size <= 44 then 2 "
         "when prod_size > 44 and prod_size <= 100 then 3 end as bigint) AS prod_size_bin",
     ),
 )
 def size_bins(spark, d):
-    out = clean.with_size_bins(view.transactions(spark, d))
+    out = clean.with_size_bins(view.all_transactions(spark, d))
     return shaped(out.select("cust_id", "sale_id", "prod_id", "prod_size_bin"))
 
 
@@ -195,25 +197,25 @@ def _quintile(col: str, edges: str) -> str:
 @_add(
     "quintile_bins",
     f"""{WITH}, e AS (SELECT quantile_cont(sale_discount_applied, [0.2, 0.4, 0.6, 0.8]) AS de,
-  quantile_cont(sale_revenue, [0.2, 0.4, 0.6, 0.8]) AS re FROM tx)
+  quantile_cont(sale_revenue, [0.2, 0.4, 0.6, 0.8]) AS re FROM alltx)
 SELECT {', '.join(IDS)}, {_quintile("sale_discount_applied", "de")} AS discount_quantile,
-  {_quintile("sale_revenue", "re")} AS revenue_quantile FROM tx, e""",
+  {_quintile("sale_revenue", "re")} AS revenue_quantile FROM alltx, e""",
 )
 def quintile_bins(spark, d):
-    out = clean.with_quantile_bins(view.transactions(spark, d))
+    out = clean.with_quantile_bins(view.all_transactions(spark, d))
     return shaped(out.select("cust_id", "sale_id", "prod_id", "discount_quantile", "revenue_quantile"))
 
 
 @_add(
     "calendar_parts",
     _pick(
-        "tx", *IDS, sql_int("month(order_date)", "order_month"), sql_int("quarter(order_date)", "order_quarter"),
+        "alltx", *IDS, sql_int("month(order_date)", "order_month"), sql_int("quarter(order_date)", "order_quarter"),
         "strftime(order_date, '%Y-%m') AS year_month",
     ),
 )
 def calendar_parts(spark, d):
     return shaped(
-        view.transactions(spark, d).select(
+        view.all_transactions(spark, d).select(
             "cust_id", "sale_id", "prod_id", F.month("order_date").alias("order_month"),
             F.quarter("order_date").alias("order_quarter"),
             F.date_format("order_date", "yyyy-MM").alias("year_month"),
@@ -223,11 +225,11 @@ def calendar_parts(spark, d):
 
 @_add(
     "date_ordinal",
-    _pick("tx", *IDS, sql_int("date_diff('day', date '1970-01-01', cast(order_date as date)) + 719163", "ordinal")),
+    _pick("alltx", *IDS, sql_int("date_diff('day', date '1970-01-01', cast(order_date as date)) + 719163", "ordinal")),
 )
 def date_ordinal(spark, d):
     return shaped(
-        view.transactions(spark, d).select(
+        view.all_transactions(spark, d).select(
             "cust_id", "sale_id", "prod_id", x.date_ordinal("order_date").alias("ordinal")
         )
     )
@@ -241,11 +243,11 @@ _TEXT = {"order_text": _BAD_DATE, "prod_brand": "prod_brand", "prod_color": "pro
     WITH + "\n" + " UNION ALL ".join(
         f"SELECT '{n}' AS column_name, round(avg(case when try_cast({sql} as timestamp) is null then 0.0 else 1.0 end) "
         f"+ 1e-7, 4) AS parse_ratio, cast(avg(case when try_cast({sql} as timestamp) is null then 0.0 else 1.0 end) > 0.9 "
-        f"as bigint) AS is_date FROM tx" for n, sql in _TEXT.items()
+        f"as bigint) AS is_date FROM alltx" for n, sql in _TEXT.items()
     ),
 )
 def infer_date_columns(spark, d):
-    rows = view.transactions(spark, d).selectExpr(*[f"{sql} as {n}" for n, sql in _TEXT.items()])
+    rows = view.all_transactions(spark, d).selectExpr(*[f"{sql} as {n}" for n, sql in _TEXT.items()])
     return shaped(clean.date_like_columns(rows, list(_TEXT)))
 
 
@@ -254,10 +256,10 @@ def infer_date_columns(spark, d):
     f"""{WITH}
 SELECT {', '.join(IDS)}, {sql_int("date_diff('second', timestamp '1970-01-01', order_date)", "order_date")},
   cast(coalesce(date_diff('second', timestamp '1970-01-01', try_cast({_BAD_DATE} as timestamp)), 0) as bigint) AS order_text,
-  coalesce(prod_brand, 'missing') AS prod_brand FROM tx""",
+  coalesce(prod_brand, 'missing') AS prod_brand FROM alltx""",
 )
 def prepared_frames(spark, d):
-    rows = view.transactions(spark, d).select(
+    rows = view.all_transactions(spark, d).select(
         "cust_id", "sale_id", "prod_id", "order_date", F.expr(_BAD_DATE).alias("order_text"), "prod_brand"
     )
     frames, _ = clean.prepare_frames(rows, [])
@@ -267,7 +269,7 @@ def prepared_frames(spark, d):
 @_add(
     "math_suite",
     _pick(
-        "tx", *IDS, sql_num("abs(sale_discount_applied)", "abs_discount"),
+        "alltx", *IDS, sql_num("abs(sale_discount_applied)", "abs_discount"),
         sql_num("ln(nullif(sale_revenue, 0))", "log_revenue"), sql_num("ln(1 + sale_revenue)", "log1p_revenue"),
         sql_num("exp(ln(1 + sale_revenue)) - 1", "back_revenue", 2),
         sql_num("greatest(sale_discount_applied + 1000, 0)", "clipped"),
@@ -275,7 +277,7 @@ def prepared_frames(spark, d):
     ),
 )
 def math_suite(spark, d):
-    t = view.transactions(spark, d).select(
+    t = view.all_transactions(spark, d).select(
         "cust_id", "sale_id", "prod_id", F.abs("sale_discount_applied").alias("abs_discount"),
         F.ln(x.nz("sale_revenue")).alias("log_revenue"), F.log1p("sale_revenue").alias("log1p_revenue"),
         F.expm1(F.log1p("sale_revenue")).alias("back_revenue"),
@@ -287,24 +289,24 @@ def math_suite(spark, d):
 
 @_add(
     "filter_non_returned",
-    _pick("tx WHERE is_returned = 0", *IDS, sql_num("sale_revenue", "sale_revenue")),
+    _pick("alltx WHERE is_returned = 0", *IDS, sql_num("sale_revenue", "sale_revenue")),
 )
 def filter_non_returned(spark, d):
-    kept = view.transactions(spark, d).where("is_returned = 0")
+    kept = view.all_transactions(spark, d).where("is_returned = 0")
     return shaped(kept.select("cust_id", "sale_id", "prod_id", "sale_revenue"))
 
 
 @_add(
     "negative_revenue",
     _pick(
-        "tx", sql_int("count(*) FILTER (sale_revenue + 15 * sale_discount_applied < 0)", "n_negative"),
+        "alltx", sql_int("count(*) FILTER (sale_revenue + 15 * sale_discount_applied < 0)", "n_negative"),
         sql_num("min(sale_revenue + 15 * sale_discount_applied)", "lowest"),
     ),
 )
 def negative_revenue(spark, d):
     from buyerscope.operators.profile import negative_values
 
-    rows = view.transactions(spark, d).withColumn(
+    rows = view.all_transactions(spark, d).withColumn(
         "adjusted", F.expr("sale_revenue + 15 * sale_discount_applied")
     )
     return shaped(negative_values(rows, "adjusted"))
@@ -349,31 +351,30 @@ def join_inner_labels(spark, d):
     )
 
 
-_RECENT = f"order_date > {REF} - interval 365 day"
 _SMALL = (
-    f"feats AS (SELECT cust_id, count(sale_id) AS n_items, sum(sale_revenue) FILTER (is_returned = 0) AS total_revenue_net, "
-    f"max(order_date) AS last_purchase FROM tx WHERE {_RECENT} GROUP BY 1)"
+    "feats AS (SELECT cust_id, count(sale_id) AS n_items, sum(sale_revenue) FILTER (is_returned = 0) AS total_revenue_net, "
+    "max(order_date) AS last_purchase FROM tx GROUP BY 1), everyone AS (SELECT c_custkey AS cust_id FROM customer)"
 )
 
 
-def _recent_features(spark, d) -> DataFrame:
-    """A small feature table that not every labelled customer is in."""
-    items = view.transactions(spark, d).where(
-        F.col("order_date") > x.day_start(view.REFERENCE_DATE) - F.expr("interval 365 days")
+def _small_features(spark, d) -> DataFrame:
+    """A small feature table; customers that never ordered are not in it."""
+    return store.select_features(
+        view.transactions(spark, d), view.FEATURES, ["n_items", "total_revenue_net", "last_purchase"]
     )
-    return store.select_features(items, view.FEATURES, ["n_items", "total_revenue_net", "last_purchase"])
 
 
 @_add(
     "join_left_fill",
-    f"{WITH}, {_SMALL}\nSELECT {sql_int('cust_id', 'cust_id')}, {sql_num('revenue_2018_2019', TARGET)}, "
+    f"{WITH}, {_SMALL}\nSELECT {sql_int('cust_id', 'cust_id')}, {sql_num('coalesce(revenue_2018_2019, 0)', TARGET)}, "
     f"{sql_int('coalesce(n_items, 0)', 'n_items')}, {sql_num('coalesce(total_revenue_net, 0)', 'total_revenue_net')} "
-    "FROM train LEFT JOIN feats USING (cust_id)",
+    "FROM everyone LEFT JOIN train USING (cust_id) LEFT JOIN feats USING (cust_id)",
 )
 def join_left_fill(spark, d):
     from buyerscope.models.twostage import join_labels_left
 
-    joined = join_labels_left(view.train_labels(spark, d), _recent_features(spark, d))
+    labels = view.customers(spark, d).join(view.train_labels(spark, d), "cust_id", "left")
+    joined = join_labels_left(labels, _small_features(spark, d))
     return shaped(joined.drop("last_purchase"))
 
 
@@ -381,24 +382,24 @@ def join_left_fill(spark, d):
     "join_right_test",
     f"{WITH}, {_SMALL}\nSELECT {sql_int('cust_id', 'cust_id')}, {sql_int('n_items', 'n_items')}, "
     f"{sql_num('coalesce(total_revenue_net, case when n_items is not null then 0 end)', 'total_revenue_net')}, "
-    f"{sql_time('last_purchase', 'last_purchase')} FROM test LEFT JOIN feats USING (cust_id)",
+    f"{sql_time('last_purchase', 'last_purchase')} FROM everyone LEFT JOIN feats USING (cust_id)",
 )
 def join_right_test(spark, d):
     from buyerscope.models.twostage import join_test_customers
 
-    return shaped(join_test_customers(_recent_features(spark, d), view.test_customers(spark, d)))
+    return shaped(join_test_customers(_small_features(spark, d), view.customers(spark, d)))
 
 
 @_add(
     "conform_columns",
     f"{WITH}, {_SMALL}\nSELECT {sql_int('cust_id', 'cust_id')}, {sql_num('coalesce(n_items, 0)', 'n_items')}, "
     f"{sql_num('coalesce(total_revenue_net, 0)', 'total_revenue_net')}, {sql_num('0', 'never_computed')} "
-    "FROM test LEFT JOIN feats USING (cust_id)",
+    "FROM everyone LEFT JOIN feats USING (cust_id)",
 )
 def conform_columns_query(spark, d):
     from buyerscope.models.twostage import join_test_customers
 
-    rows = join_test_customers(_recent_features(spark, d), view.test_customers(spark, d))
+    rows = join_test_customers(_small_features(spark, d), view.customers(spark, d))
     return shaped(conform_columns(rows, ["n_items", "total_revenue_net", "never_computed"]))
 
 
@@ -473,17 +474,17 @@ def split_zero_rate(spark, d):
 @_add(
     "cleaned_transactions",
     f"""{WITH}, e AS (SELECT quantile_cont(sale_discount_applied, [0.2, 0.4, 0.6, 0.8]) AS de,
-  quantile_cont(sale_revenue, [0.2, 0.4, 0.6, 0.8]) AS re FROM tx)
+  quantile_cont(sale_revenue, [0.2, 0.4, 0.6, 0.8]) AS re FROM alltx)
 SELECT prod_size_bin, season_type, discount_quantile, revenue_quantile, count(*) AS n_rows,
   {sql_num("sum(sale_revenue)", "revenue", 2)}
 FROM (SELECT *, cast(case when prod_size > 0 and prod_size <= 35 then 1 when prod_size > 35 and prod_size <= 44 then 2
     when prod_size > 44 and prod_size <= 100 then 3 end as bigint) AS prod_size_bin,
   {_case("regexp_extract(prod_season, '^[A-Z]+')", x.SEASON_TYPES)} AS season_type,
   {_quintile("sale_discount_applied", "de")} AS discount_quantile,
-  {_quintile("sale_revenue", "re")} AS revenue_quantile FROM tx, e) GROUP BY ALL""",
+  {_quintile("sale_revenue", "re")} AS revenue_quantile FROM alltx, e) GROUP BY ALL""",
 )
 def cleaned_transactions(spark, d):
-    rows = clean.clean(view.transactions(spark, d))
+    rows = clean.clean(view.all_transactions(spark, d))
     out = rows.groupBy("prod_size_bin", "season_type", "discount_quantile", "revenue_quantile").agg(
         F.count("*").alias("n_rows"), F.sum("sale_revenue").alias("revenue")
     )

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from functools import reduce
+
+from pyspark.sql import DataFrame, functions as F
 
 from buyerscope.operators import profile
 from buyerscope.plans.shape import shaped, sql_int, sql_num, sql_time
@@ -36,19 +38,19 @@ def _per_column(columns, body) -> str:
     _per_column(
         COLUMNS,
         lambda c: f"SELECT '{c}' AS column_name, {sql_int(f'count(*) - count({c})', 'n_missing')}, "
-        f"{sql_num(f'(count(*) - count({c})) * 100.0 / count(*)', 'pct_missing')} FROM tx",
+        f"{sql_num(f'(count(*) - count({c})) * 100.0 / count(*)', 'pct_missing')} FROM alltx",
     ),
 )
 def profile_missing(spark, d):
-    return shaped(profile.missing(view.transactions(spark, d), COLUMNS))
+    return shaped(profile.missing(view.all_transactions(spark, d), COLUMNS))
 
 
 @_add(
     "profile_nunique",
-    _per_column(NOMINAL, lambda c: f"SELECT '{c}' AS column_name, count(DISTINCT {c}) AS n_unique FROM tx"),
+    _per_column(NOMINAL, lambda c: f"SELECT '{c}' AS column_name, count(DISTINCT {c}) AS n_unique FROM alltx"),
 )
 def profile_nunique(spark, d):
-    out = profile.distinct_counts(view.transactions(spark, d), NOMINAL)
+    out = profile.distinct_counts(view.all_transactions(spark, d), NOMINAL)
     return shaped(out.select("column_name", "n_unique"))
 
 
@@ -57,11 +59,11 @@ def profile_nunique(spark, d):
     _per_column(
         NOMINAL,
         lambda c: f"SELECT '{c}' AS column_name, "
-        f"{sql_int(f'count(DISTINCT {c}) + max(case when {c} is null then 1 else 0 end)', 'n_unique_with_null')} FROM tx",
+        f"{sql_int(f'count(DISTINCT {c}) + max(case when {c} is null then 1 else 0 end)', 'n_unique_with_null')} FROM alltx",
     ),
 )
 def profile_nunique_null(spark, d):
-    out = profile.distinct_counts(view.transactions(spark, d), NOMINAL)
+    out = profile.distinct_counts(view.all_transactions(spark, d), NOMINAL)
     return shaped(out.select("column_name", "n_unique_with_null"))
 
 
@@ -78,9 +80,9 @@ def _describe_sql(columns: dict[str, str], source: str, probs) -> str:
     return WITH + "\n" + "\nUNION ALL ".join(one(n) for n in columns)
 
 
-@_add("describe_numeric", _describe_sql({c: c for c in METRIC}, "tx", (0.25, 0.5, 0.75)))
+@_add("describe_numeric", _describe_sql({c: c for c in METRIC}, "alltx", (0.25, 0.5, 0.75)))
 def describe_numeric(spark, d):
-    items = view.transactions(spark, d)
+    items = view.all_transactions(spark, d)
     return shaped(profile.describe(items, {c: F.col(c) for c in METRIC}))
 
 
@@ -100,13 +102,13 @@ def _dates_sql(c: str) -> str:
     e = f"date_diff('second', timestamp '1970-01-01', {c})"
     return (
         f"SELECT '{c}' AS column_name, count({c}) AS n, {sql_time(f'min({c})', 'first')}, {sql_time(f'max({c})', 'last')}, "
-        f"{sql_num(f'avg({e})', 'mean_epoch', 2)}, {sql_num(f'median({e})', 'median_epoch', 2)} FROM tx"
+        f"{sql_num(f'avg({e})', 'mean_epoch', 2)}, {sql_num(f'median({e})', 'median_epoch', 2)} FROM alltx"
     )
 
 
 @_add("describe_dates", _per_column(["order_date", "pack_date"], _dates_sql))
 def describe_dates(spark, d):
-    return shaped(profile.describe_dates(view.transactions(spark, d), ["order_date", "pack_date"]), 2)
+    return shaped(profile.describe_dates(view.all_transactions(spark, d), ["order_date", "pack_date"]), 2)
 
 
 @_add(
@@ -114,32 +116,41 @@ def describe_dates(spark, d):
     _per_column(
         NOMINAL,
         lambda c: f"(SELECT '{c}' AS column_name, cast(sum(m) over () as bigint) AS n, count(*) over () AS n_unique, "
-        f"v AS top, m AS freq FROM (SELECT cast({c} as varchar) AS v, count(*) AS m FROM tx WHERE {c} IS NOT NULL GROUP BY 1) "
+        f"v AS top, m AS freq FROM (SELECT cast({c} as varchar) AS v, count(*) AS m FROM alltx WHERE {c} IS NOT NULL GROUP BY 1) "
         "ORDER BY m DESC, v LIMIT 1)",
     ),
 )
 def describe_category(spark, d):
-    return shaped(profile.describe_categories(view.transactions(spark, d), NOMINAL))
+    return shaped(profile.describe_categories(view.all_transactions(spark, d), NOMINAL))
 
 
-_VC = ("prod_brand", "prod_season", "prod_type_5")
+# The columns whose values are listed.
+_LISTED = ("prod_season", "prod_color", "prod_type_1", "prod_type_3", "prod_type_5", "prod_material", "prod_brand")
 
 
 @_add(
     "value_counts",
     _per_column(
-        _VC,
-        lambda c: f"SELECT '{c}' AS column_name, {c} AS value, count(*) AS n FROM tx WHERE {c} IS NOT NULL GROUP BY {c}",
+        _LISTED,
+        lambda c: f"SELECT '{c}' AS column_name, {c} AS value, count(*) AS n FROM alltx WHERE {c} IS NOT NULL GROUP BY {c}",
     ),
 )
 def value_counts(spark, d):
-    counts = profile.long_counts(view.transactions(spark, d), list(_VC))
+    counts = profile.long_counts(view.all_transactions(spark, d), list(_LISTED))
     return shaped(counts.where(F.col("value").isNotNull()))
 
 
-@_add("distinct_values", f"{WITH}\nSELECT DISTINCT prod_type_3 FROM tx")
+@_add(
+    "distinct_values",
+    _per_column(_LISTED, lambda c: f"SELECT DISTINCT '{c}' AS column_name, {c} AS value FROM alltx"),
+)
 def distinct_values(spark, d):
-    return shaped(profile.distinct_values(view.transactions(spark, d), "prod_type_3"))
+    items = view.all_transactions(spark, d)
+    each = [
+        profile.distinct_values(items, c).select(F.lit(c).alias("column_name"), F.col(c).alias("value"))
+        for c in _LISTED
+    ]
+    return shaped(reduce(DataFrame.unionByName, each))
 
 
 @_add(
@@ -153,18 +164,18 @@ def zero_share(spark, d):
 @_add(
     "duplicate_rows",
     f"{WITH}\nSELECT {sql_int('sum(n - 1)', 'n_duplicates')}, {sql_num('sum(n - 1) * 100.0 / sum(n)', 'pct_duplicates')} "
-    "FROM (SELECT *, count(*) AS n FROM tx GROUP BY ALL)",
+    "FROM (SELECT *, count(*) AS n FROM alltx GROUP BY ALL)",
 )
 def duplicate_rows(spark, d):
-    items = view.transactions(spark, d)
+    items = view.all_transactions(spark, d)
     return shaped(profile.duplicate_rows(items))
 
 
 def _fence_sql(tail: str) -> str:
     def one(c):
         return (
-            f"SELECT '{c}' AS column_name, {tail.format(c=c)} FROM tx, (SELECT quantile_cont({c}, 0.25) AS a, "
-            f"quantile_cont({c}, 0.5) AS m, quantile_cont({c}, 0.75) AS b FROM tx) GROUP BY a, m, b"
+            f"SELECT '{c}' AS column_name, {tail.format(c=c)} FROM alltx, (SELECT quantile_cont({c}, 0.25) AS a, "
+            f"quantile_cont({c}, 0.5) AS m, quantile_cont({c}, 0.75) AS b FROM alltx) GROUP BY a, m, b"
         )
 
     return _per_column(METRIC, one)
@@ -181,7 +192,7 @@ _IN = "FILTER ({c} >= a - 1.5 * (b - a) AND {c} <= b + 1.5 * (b - a))"
     ),
 )
 def iqr_outliers(spark, d):
-    return shaped(profile.iqr_outliers(view.transactions(spark, d), METRIC))
+    return shaped(profile.iqr_outliers(view.all_transactions(spark, d), METRIC))
 
 
 @_add(
@@ -192,26 +203,26 @@ def iqr_outliers(spark, d):
     ),
 )
 def boxplot_stats(spark, d):
-    return shaped(profile.boxplot_stats(view.transactions(spark, d), METRIC))
+    return shaped(profile.boxplot_stats(view.all_transactions(spark, d), METRIC))
 
 
 @_add(
     "basket_products",
     f"{WITH}\nSELECT num_products, count(*) AS n_sales, cast(num_products > 1 as bigint) AS multiple_products "
-    "FROM (SELECT sale_id, count(DISTINCT prod_id) AS num_products FROM tx GROUP BY 1) GROUP BY 1",
+    "FROM (SELECT sale_id, count(DISTINCT prod_id) AS num_products FROM alltx GROUP BY 1) GROUP BY 1",
 )
 def basket_products(spark, d):
-    return shaped(profile.basket_products(view.transactions(spark, d)))
+    return shaped(profile.basket_products(view.all_transactions(spark, d)))
 
 
 @_add(
     "sale_consistency",
     f"{WITH}\nSELECT cast(nd = 1 as bigint) AS order_date_consistent, cast(nc = 1 as bigint) AS customer_id_consistent, "
     "count(*) AS n_sales FROM (SELECT sale_id, count(DISTINCT order_date) AS nd, count(DISTINCT cust_id) AS nc "
-    "FROM tx GROUP BY sale_id) GROUP BY 1, 2",
+    "FROM alltx GROUP BY sale_id) GROUP BY 1, 2",
 )
 def sale_consistency(spark, d):
-    return shaped(profile.sale_consistency(view.transactions(spark, d)))
+    return shaped(profile.sale_consistency(view.all_transactions(spark, d)))
 
 
 def _histogram_sql(e: str) -> str:

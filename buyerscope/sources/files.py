@@ -9,14 +9,17 @@ from buyerscope.settings import SCORED
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """CSV with a header and a declared schema: one pass, nothing inferred."""
-    return (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("enforceSchema", False)
-        .option("mode", "PERMISSIVE")
-        .csv(path)
-    )
+    """The declared columns of a CSV, found by their names in its header; nothing is inferred.
+
+    Other columns are left out, a declared one that is missing fails, and so does a file
+    whose header differs from the first one's.
+    """
+    reader = spark.read.option("header", True)
+    declared = {f.name: f for f in schema}
+    names = reader.csv(path).columns or schema.fieldNames()
+    found = T.StructType([declared.get(n, T.StructField(n, T.StringType())) for n in names])
+    rows = reader.schema(found).option("enforceSchema", False).option("mode", "PERMISSIVE").csv(path)
+    return rows.select(*schema.fieldNames())
 
 
 def read_csv_as_text(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

@@ -95,6 +95,16 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return type_transactions(observed_raw(spark, sf_dir))
 
 
+def all_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Typed transactions of all dates, for what needs no reference date."""
+    return type_transactions(raw_transactions(spark, sf_dir))
+
+
+def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every known customer; some have no transactions."""
+    return spark.read.parquet(f"{sf_dir}/customer.parquet").select(F.col("c_custkey").alias("cust_id"))
+
+
 def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Revenue in the year after the reference date for every observed customer."""
     ref = F.lit(REFERENCE_DATE.isoformat()).cast("timestamp_ntz")
@@ -122,7 +132,7 @@ def test_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def oracle_tables() -> str:
-    """WITH clause for DuckDB: raw (all rows), tx (typed, observed), lab, train, test."""
+    """WITH clause for DuckDB: raw (all rows), alltx (typed), tx (typed, observed), lab, train, test."""
     cols = ",\n  ".join(f"{sql} as {name}" for name, sql in RAW_COLUMNS.items())
     ref = f"timestamp '{REFERENCE_DATE.isoformat()}'"
     token = (
@@ -132,15 +142,15 @@ def oracle_tables() -> str:
     return f"""WITH raw AS (
   SELECT {cols}
   FROM lineitem l JOIN orders o ON l_orderkey = o_orderkey JOIN part p ON l_partkey = p_partkey
-), rawtx AS (SELECT * FROM raw WHERE order_date <= {ref}
-), tx AS (
+), alltx AS (
   SELECT * REPLACE (try_cast(prod_size AS double) AS prod_size,
       {token.format(c='prod_web_only')} AS prod_web_only,
       {token.format(c='prod_outlet')} AS prod_outlet),
     case when returned_to_shop_id is null then 0 else 1 end AS is_returned,
     cast(floor(date_diff('microsecond', order_date, pack_date) / 86400000000.0) as bigint) AS days_to_pack,
     abs(sale_discount_applied) AS disc
-  FROM rawtx
+  FROM raw
+), tx AS (SELECT * FROM alltx WHERE order_date <= {ref}
 ), lab AS (
   SELECT cust_id, coalesce(sum(sale_revenue) FILTER (order_date > {ref}), 0.0) AS revenue_2018_2019
   FROM raw WHERE order_date <= {ref} + interval {TARGET_DAYS} day

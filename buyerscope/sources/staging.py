@@ -25,10 +25,15 @@ def staging_root(spark: SparkSession) -> str:
     return named.rstrip("/")
 
 
+def staged_path(spark: SparkSession, label: str) -> str:
+    """A new name below the shared folder."""
+    return f"{staging_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
 def staged(df: DataFrame, label: str = "rows") -> DataFrame:
     """Write ``df`` once and read it back."""
     spark = df.sparkSession
-    path = f"{staging_root(spark)}/{label}-{uuid.uuid4().hex}"
+    path = staged_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
