@@ -14,12 +14,13 @@ from buyerscope.sources.staging import staged
 QUERIES: dict = {}
 ORACLE: dict = {}
 
-# Fewer rounds and fewer, shallower trees than the defaults: these queries show that the jobs work,
-# over all customers and all features.
-QUICK = ModelSettings(classifier_trees=10, regressor_trees=10, max_depth=5)
+# Forests, logistic regression and the early-stopped regressor have the published settings. Other boosting and
+# the search run fewer rounds and draws, over all customers and all features: a round takes 0.2 s on one
+# machine, so that the published search of 25 draws in 3 folds would take hours.
+SETTINGS = ModelSettings()
 QUICK_BOOSTING = 8
 QUICK_SEARCH = {"maxIter": [5, 10], "stepSize": [0.05, 0.1], "maxDepth": [2, 3]}
-PIPELINE = twostage.TwoStagePipeline(QUICK)
+PIPELINE = twostage.TwoStagePipeline(SETTINGS)
 
 
 def _add(name: str):
@@ -46,7 +47,7 @@ def _parts(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
 @_add("fit_classifier")
 def fit_classifier(spark, d):
     rows, names = _rows(spark, d)
-    model = twostage.fit_classifier(twostage.default_classifier(QUICK), _parts(rows)[0])
+    model = twostage.fit_classifier(twostage.default_classifier(SETTINGS), _parts(rows)[0])
     size = rows.agg(F.count("*").alias("n_customers"), F.avg("target_binary").alias("buyer_ratio"))
     return shaped(
         size.withColumns({"n_features": F.lit(len(names)), "n_trees": F.lit(model.getNumTrees)})
@@ -58,7 +59,7 @@ def fit_regressor(spark, d):
     """Early-stopped boosting on buyers: the round it stopped at, and the last errors."""
     rows, names = _rows(spark, d)
     model = twostage.fit_regressor(
-        search.early_stopped_regressor(QUICK_BOOSTING), search.with_validation_flag(rows)
+        search.early_stopped_regressor(), search.with_validation_flag(rows)
     )
     train, valid = (twostage.buyers(p) for p in _parts(rows))
     curve = search.learning_curve(model, train, valid)
@@ -69,7 +70,7 @@ def fit_regressor(spark, d):
 def buy_probability(spark, d):
     rows, _ = _rows(spark, d)
     train, valid = _parts(rows)
-    model = twostage.fit_classifier(twostage.default_classifier(QUICK), train)
+    model = twostage.fit_classifier(twostage.default_classifier(SETTINGS), train)
     return shaped(twostage.buy_probability(model, valid).select("cust_id", "p_buy"))
 
 
@@ -83,7 +84,7 @@ def evaluate_two_stage(spark, d):
 def model_leaderboard(spark, d):
     rows, _ = _rows(spark, d)
     _, direct = search.direct_regression(rows, QUICK_BOOSTING)
-    board, failed = search.model_leaderboard(rows, search.model_pairs(QUICK, QUICK_BOOSTING), direct)
+    board, failed = search.model_leaderboard(rows, search.model_pairs(SETTINGS, QUICK_BOOSTING), direct)
     lost = spark.createDataFrame(list(failed.items()), "model_name string, error string")
     return shaped(board.unionByName(lost, allowMissingColumns=True))
 
@@ -125,7 +126,7 @@ def random_search(spark, d):
 @_add("top_features")
 def top_features(spark, d):
     rows, names = _rows(spark, d)
-    model = twostage.fit_classifier(twostage.default_classifier(QUICK), _parts(rows)[0])
+    model = twostage.fit_classifier(twostage.default_classifier(SETTINGS), _parts(rows)[0])
     return shaped(search.top_features(spark, model, names, 15))
 
 
@@ -133,7 +134,7 @@ def top_features(spark, d):
 def permutation_importance(spark, d):
     rows, names = _rows(spark, d)
     train, valid = _parts(rows)
-    model = twostage.fit_regressor(twostage.default_regressor(QUICK), train)
+    model = twostage.fit_regressor(twostage.default_regressor(SETTINGS), train)
     top = [r.feature for r in search.top_features(spark, model, names, 20).collect()]
     return shaped(
         search.permutation_importance(twostage.buyers(valid), model, names, top, "target_log")
@@ -152,7 +153,7 @@ def learning_curve(spark, d):
 def run_summary(spark, d):
     rows, names = _rows(spark, d)
     run = PIPELINE.validate(rows, names)
-    params = {"classifier_trees": QUICK.classifier_trees, "max_depth": QUICK.max_depth}
+    params = {"classifier_trees": SETTINGS.classifier_trees, "max_depth": SETTINGS.max_depth}
     return shaped(search.run_summary(spark, "forest + forest", params, run))
 
 

@@ -2,15 +2,19 @@
 
 from datetime import date, datetime, timedelta
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from buyerscope.features import preferences, store
 from buyerscope.functions import exprs as x
+from buyerscope.lifetime.fitting import maximise
 from buyerscope.lifetime.rfm import rfm_summary
+from buyerscope.models import sweeps
 from buyerscope.operators import clean, profile
-from buyerscope.schema import TRANSACTIONS, type_transactions
+from buyerscope.schema import TEST_LABELS, TRAIN_LABELS, TRANSACTIONS, type_transactions
 from buyerscope.settings import FeatureSettings, LifetimeSettings
+from buyerscope.sources import files
 
 REF = date(2017, 12, 31)
 SETTINGS = FeatureSettings(reference_date=REF)
@@ -224,3 +228,23 @@ def test_long_series_and_parameters_at_one(spark):
     )
     assert all(abs(x - y) < 1e-3 * abs(x) for x, y in zip(near, at))
     assert [r[0] for r in row.select(SpendModel(p=2.0, q=1.0, v=5.0).expected_average()).collect()] == [0.0, 10.0 / 6 + 20.0]
+
+
+def test_csv_columns_are_found_by_name(spark, tmp_path):
+    path = str(tmp_path / "customers")
+    spark.createDataFrame([(9.5, 1)], "revenue_2018_2019 double, cust_id long").write.option("header", True).csv(path)
+    assert [tuple(r) for r in files.read_csv(spark, path, TEST_LABELS).collect()] == [(1,)]
+    assert [tuple(r) for r in files.read_csv(spark, path, TRAIN_LABELS).collect()] == [(1, 9.5)]
+
+
+def test_thresholds_between_hundredths_are_kept(spark):
+    rows = [(1, 10.0, 0.155, 4.0), (2, 0.0, 0.16, 1.0), (3, 5.0, 0.15, 2.0)]
+    preds = spark.createDataFrame(rows, "cust_id long, y double, p_buy double, amount double")
+    found = {r.threshold: r.pred_buyers for r in sweeps.threshold_sweep(preds, (0.155, 0.1575), 1.0).collect()}
+    assert found == {0.155: 2, 0.1575: 1}
+
+
+def test_a_fit_that_still_gains_fails(spark):
+    data = spark.createDataFrame([(1.0,)], "weight double")
+    with pytest.raises(RuntimeError, match="still gains"):
+        maximise(data, lambda rows, point: np.zeros(len(rows)) - point[0], [5.0], 0.0, steps=1)
