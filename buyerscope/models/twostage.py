@@ -210,7 +210,10 @@ class TwoStagePipeline:
         return fit_classifier(models["classifier"], rows), fit_regressor(models["regressor"], rows)
 
     def run(self, features: DataFrame, train: DataFrame, test: DataFrame) -> TwoStageRun:
-        rows, names = self.training_rows(features, train)
+        return self.complete(*self.training_rows(features, train), features, test)
+
+    def complete(self, rows: DataFrame, names: list[str], features: DataFrame, test: DataFrame) -> TwoStageRun:
+        """Everything after ``training_rows``."""
         checked = self.validate(rows, names)
         clf, reg = self.refit(rows)
         scored = score_customers(
@@ -219,6 +222,11 @@ class TwoStagePipeline:
         return replace(checked, classifier=clf, regressor=reg, scored=scored)
 
 
+def conformed_vectors(rows: DataFrame, names: list[str]) -> DataFrame:
+    """Customers to be scored with the columns of training; absent ones are 0."""
+    return assembled(conform_columns(dates_to_ordinals(rows), names), names, [])
+
+
 def score_customers(
     classifier: Model,
     regressor: Model,
@@ -228,8 +236,7 @@ def score_customers(
     threshold: float,
 ) -> DataFrame:
     """The two-column result: the columns of training, absent ones as 0, then both models."""
-    conformed = conform_columns(dates_to_ordinals(rows), names)
-    preds = predict(classifier, regressor, assembled(conformed, names, []))
+    preds = predict(classifier, regressor, conformed_vectors(rows, names))
     if strategy == "expected":
         amount = sweeps.soft_score("p_buy", "amount")
     else:

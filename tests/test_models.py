@@ -137,6 +137,48 @@ def test_failed_pair_is_reported(spark, data):
     assert sweeps.FIRST_MODEL_THRESHOLD == 0.5
 
 
+def test_search_leads_to_scored_customers(spark, data):
+    from buyerscope.models import chains
+
+    bases = (twostage.default_classifier(SETTINGS), twostage.default_regressor(SETTINGS))
+    grid = {"numTrees": [2, 3], "maxDepth": [2, 3], "bootstrap": [False, True]}
+    table, run = chains.tuned_run(twostage.TwoStagePipeline(SETTINGS), data, bases, (grid, grid), draws=2, folds=2)
+    rows = table.collect()
+    assert sorted(r.stage for r in rows) == ["classifier"] * 2 + ["regressor"] * 2
+    best = max((r for r in rows if r.stage == "classifier"), key=lambda r: r.score).params
+    assert f"numTrees={run.classifier.getNumTrees}" in best
+    assert run.scored.count() == data[2].count()
+    shown = {p.name: v for p, v in bases[0].extractParamMap().items()}
+    assert shown["numTrees"] == 5  # the base estimator is left as it was
+
+
+def test_ensemble_scores_every_test_customer(spark, data):
+    from buyerscope.models import chains
+
+    forest = (twostage.default_classifier(SETTINGS), twostage.default_regressor(SETTINGS))
+    boosted = (search.boosting_classifier(3), search.boosting_regressor(3))
+    run = chains.ensemble_run(twostage.TwoStagePipeline(SETTINGS), data, boosted, forest)
+    assert {r.stage for r in run.board.collect()} == {"coarse", "fine"}
+    assert run.scored.columns == ["cust_id", SCORED]
+    assert sorted(r.cust_id for r in run.scored.collect()) == sorted(r.cust_id for r in data[2].collect())
+    assert run.scored.agg(F.min(SCORED)).first()[0] >= 0
+
+
+def test_combinations_match_pairs_judged_alone(spark, data):
+    from buyerscope.models import chains
+
+    pipeline = twostage.TwoStagePipeline(SETTINGS)
+    forest, boosted = twostage.default_classifier(SETTINGS), search.boosting_classifier(3)
+    plain, more = twostage.default_regressor(SETTINGS), search.boosting_regressor(3)
+    run = chains.combination_run(pipeline, data, {"f": forest, "b": boosted}, {"p": plain, "m": more})
+    board = {(r.classifier, r.regressor): r for r in run.board.collect()}
+    assert len(board) == 4 and run.scored.count() == data[2].count()
+    rows, _ = pipeline.training_rows(data[0], data[1])
+    alone, _ = search.model_leaderboard(rows, {"bm": (boosted, more)})
+    one = alone.first()
+    assert (one.AUC, one.MAE) == pytest.approx((board["b", "m"].AUC, board["b", "m"].MAE))
+
+
 def test_neighbours_match_brute_force(spark):
     """Small rings and blocks, clusters, and one vector that a third of the rows share."""
     from buyerscope.models.neighbours import knn_score
