@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from buyerscope.llm import decontamination, mixing, pii, quality, rollups, sharding, simhash, token_files, toxicity, warc
+from buyerscope.llm import decontamination, fill_middle, importance, mixing, pii, quality, quality_model, rollups
+from buyerscope.llm import sharding, simhash, token_files, toxicity, warc
 from buyerscope.llm.common import table, utf8, word_count
 from buyerscope.llm.shared_files import new_folder
 
@@ -86,6 +87,24 @@ def op10_pareto_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_fenwick_cuts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = fill_middle.rearranged(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cut.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(fill_middle.restored(), 256).alias("restored_sha256"),
+    )
+
+
+def op12_segment_deduplication(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = importance.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op13_follow_the_regularised_leader(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality_model.scores(docs, quality_model.fit(docs, table(spark, sf_dir, "labels")))
+
+
 QUERIES = {
     "op1_latent_decontamination": op1_latent_decontamination,
     "op2_sampled_splitters": op2_sampled_splitters,
@@ -97,6 +116,9 @@ QUERIES = {
     "op8_delta_rollups": op8_delta_rollups,
     "op9_naive_bayes_ngrams": op9_naive_bayes_ngrams,
     "op10_pareto_order": op10_pareto_order,
+    "op11_fenwick_cuts": op11_fenwick_cuts,
+    "op12_segment_deduplication": op12_segment_deduplication,
+    "op13_follow_the_regularised_leader": op13_follow_the_regularised_leader,
 }
 
 ORACLE = {
@@ -109,4 +131,21 @@ WITH exact AS (
 )
 SELECT source, lang, version, count(*) AS docs, CAST(sum(n) AS BIGINT) AS tokens
 FROM exact GROUP BY source, lang, version""",
+    "op11_fenwick_cuts": r"""
+WITH hashed AS (
+  SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, ''))::BIGINT AS n, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS d FROM documents
+), drawn AS (
+  SELECT doc_id, t, n, ('0x' || substr(d, 1, 8))::BIGINT % (n + 1) AS x, ('0x' || substr(d, 9, 8))::BIGINT % (n + 1) AS y,
+    ('0x' || substr(d, 17, 8))::BIGINT % 100 >= 90 OR n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') AS plain,
+    ('0x' || substr(d, 25, 8))::BIGINT % 100 < 20 AS spm
+  FROM hashed
+), cut AS (
+  SELECT doc_id, t, n, CASE WHEN plain THEN 'plain' WHEN spm THEN 'spm' ELSE 'psm' END AS form, least(x, y) AS a, greatest(x, y) AS b FROM drawn
+), parts AS (
+  SELECT *, substring(t, 1, a) AS p, substring(t, a + 1, b - a) AS m, substring(t, b + 1, n - b) AS s FROM cut
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+  sha256(t) AS restored_sha256
+FROM parts""",
 }
