@@ -74,7 +74,8 @@ class Vectors:
         known.update([(t, zlib.crc32(t)) for t in set(tokens).difference(known)])
         return np.fromiter(map(known.__getitem__, tokens), np.uint64, len(tokens))
 
-    def __call__(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def counts(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Buckets, how often each occurs, and where each text begins."""
         found = [_TOKEN.findall(t.lower()) for t in texts]
         size = np.array([len(f) for f in found], np.int64)
         one = self._hashes([t for f in found for t in f])
@@ -85,9 +86,12 @@ class Vectors:
         mixed = (np.r_[one, two] + np.uint64(1)) * np.uint64(0xD6E8FEB86659FD93)
         bucket = (mixed >> np.uint64(64 - BUCKETS.bit_length() + 1)).astype(np.int64)
         key, count = np.unique(np.r_[of, of[1:][near]] * BUCKETS + bucket, return_counts=True)
-        text, bucket = key // BUCKETS, key % BUCKETS
-        value = np.log1p(count)
-        edge = np.searchsorted(text, np.arange(len(texts) + 1))
+        return key % BUCKETS, count, np.searchsorted(key, np.arange(len(texts) + 1) * BUCKETS)
+
+    def __call__(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Buckets, values and where each text begins."""
+        bucket, count, edge = self.counts(texts)
+        value, text = np.log1p(count), np.repeat(np.arange(len(texts)), np.diff(edge))
         length = np.sqrt(np.bincount(text, value**2, len(texts)))
         return bucket, value / length[text], edge
 
@@ -123,7 +127,7 @@ def held_out(doc_id: str = "doc_id") -> Column:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, most: int = TRAIN_ROWS) -> DataFrame:
-    """(shard, place, good, bucket, value) of about ``most`` labelled documents, written once."""
+    """(shard, place, good, text) of about ``most`` labelled documents."""
     marked = labels.select(F.col("doc_id").cast("long").alias("id"), F.col("quality").cast("int").alias("good"))
     marked = marked.where(F.col("id").isNotNull() & F.col("good").isin(0, 1) & ~held_out("id"))
     marked = marked.groupBy("id").agg((F.avg("good") >= 0.5).cast("int").alias("good"))
@@ -132,33 +136,51 @@ def training_rows(docs: DataFrame, labels: DataFrame, most: int = TRAIN_ROWS) ->
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), utf8("text").alias("text"))
     one = texts.join(F.broadcast(sample), "id").groupBy("id", "good").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
     place = F.xxhash64("id", F.lit("place"))
-    rows = one.select(F.pmod(place, F.lit(SHARDS)).cast("int").alias("shard"), place.alias("place"), "good", "text")
+    return one.select(F.pmod(place, F.lit(SHARDS)).cast("int").alias("shard"), place.alias("place"), "good", "text")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def packed(rows: DataFrame) -> DataFrame:
+    """One row a shard, written once: the marks, buckets and counts of its documents, in hashed order."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vectors = Vectors()
         for b in slices(batches, "text", AT_ONCE):
-            bucket, value, edge = vectors(b.column("text").to_pylist())
-            lists = [pa.ListArray.from_arrays(edge.astype(np.int32), x) for x in (bucket.astype(np.int32), value)]
-            yield pa.RecordBatch.from_arrays([*b.columns[:3], *lists], ["shard", "place", "good", "bucket", "value"])
+            bucket, times, edge = vectors.counts(b.column("text").to_pylist())
+            parts = [
+                pa.array([x[i:j].astype(kind).tobytes() for i, j in zip(edge[:-1].tolist(), edge[1:].tolist())], pa.binary())
+                for x, kind in ((bucket, "<i4"), (times, "<u4"))
+            ]
+            yield pa.RecordBatch.from_arrays([*b.columns[:3], *parts], ["shard", "place", "good", "bucket", "times"])
 
-    return staged(rows.mapInArrow(run, "shard int, place long, good int, bucket array<int>, value array<double>"), "quality")
+    def pack(part: pa.Table) -> pa.Table:
+        part = part.sort_by("place")
+        bucket, times = (part.column(c).to_pylist() for c in ("bucket", "times"))
+        size = np.array([len(x) // 4 for x in bucket], "<i8")
+        columns = [part.column("good").to_numpy().astype("<i4").tobytes(), size.tobytes(), b"".join(bucket), b"".join(times)]
+        return pa.table([pa.array([c], pa.binary()) for c in columns], ["good", "size", "bucket", "times"])
+
+    each = rows.mapInArrow(count, "shard int, place long, good int, bucket binary, times binary")
+    return staged(each.groupBy("shard").applyInArrow(pack, "good binary, size binary, bucket binary, times binary"), "quality")
 
 
 def one_round(train: DataFrame, sums: Sums) -> Sums:
     """The means of the shards' sums after each has taken its rows once."""
     sent = train.sparkSession.sparkContext.broadcast(sums)
 
-    def run(rows: pa.Table) -> pa.Table:
-        own = Sums(sent.value.z.copy(), sent.value.n.copy())
-        rows = rows.sort_by("place").combine_chunks()
-        lists = [rows.column(c).combine_chunks() for c in ("bucket", "value")]
-        for i, good in enumerate(rows.column("good").to_pylist()):
-            own.learn(*(x[i].values.to_numpy() for x in lists), good)
-        at = np.flatnonzero((own.n != sent.value.n) | (own.z != sent.value.z))
-        moved = [np.rint((new[at] - old[at]) / UNIT).astype(np.int64) for new, old in ((own.z, sent.value.z), (own.n, sent.value.n))]
-        return pa.table([at, *moved], ["at", "z", "n"])
-
-    moved = train.groupBy("shard").applyInArrow(run, "at long, z long, n long").groupBy("at").agg(F.sum("z").alias("z"), F.sum("n").alias("n"))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for row in b.to_pylist():
+                own = Sums(sent.value.z.copy(), sent.value.n.copy())
+                good, size, bucket, times = (np.frombuffer(row[c], k) for c, k in (("good", "<i4"), ("size", "<i8"), ("bucket", "<i4"), ("times", "<u4")))
+                edge = np.r_[0, np.cumsum(size)].tolist()
+                for mark, i, j in zip(good.tolist(), edge[:-1], edge[1:]):
+                    value = np.log1p(times[i:j])
+                    own.learn(bucket[i:j], value / np.sqrt(max(value @ value, 1e-300)), mark)
+                at = np.flatnonzero((own.n != sent.value.n) | (own.z != sent.value.z))
+                moved = [np.rint((new[at] - old[at]) / UNIT).astype(np.int64) for new, old in ((own.z, sent.value.z), (own.n, sent.value.n))]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (at, *moved)], ["at", "z", "n"])
+
+    moved = train.mapInArrow(run, "at long, z long, n long").groupBy("at").agg(F.sum("z").alias("z"), F.sum("n").alias("n"))
     new = Sums(sums.z.copy(), sums.n.copy())
     found = moved.toArrow()
     at = found.column("at").to_numpy()
@@ -170,8 +192,9 @@ def one_round(train: DataFrame, sums: Sums) -> Sums:
 
 def fit(docs: DataFrame, labels: DataFrame, rounds: int = ROUNDS) -> Model:
     """Learn from labelled documents."""
-    train = training_rows(docs, labels)
-    n, good = train.agg(F.count("*"), F.sum("good")).first()
+    train = packed(training_rows(docs, labels))
+    marks = np.concatenate([np.empty(0, "<i4"), *(np.frombuffer(r.good, "<i4") for r in train.select("good").collect())])
+    n, good = len(marks), int(marks.sum())
     if not n or good in (0, n):
         drop_staged(train)
         return Model(math.inf if n and good else -math.inf if n else 0.0)
