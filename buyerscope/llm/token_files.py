@@ -24,11 +24,14 @@ rows with equal doc_ids stand side by side by text; an empty table gives no rows
 from __future__ import annotations
 
 import json
+import unicodedata
 from collections.abc import Iterator
-from itertools import accumulate
+from itertools import accumulate, pairwise
+from operator import add
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
@@ -36,9 +39,10 @@ from buyerscope.llm.common import slices, utf8
 from buyerscope.llm.shared_files import attempt_name, mapped, new_folder, one_task_each, opened
 
 END_ID = 1
-#: Pieces a task remembers; the memory is emptied when it is full.
-REMEMBERED = 600_000
-_TAIL = b".,;:!?"
+#: Pieces of a generation that a worker remembers; when it is full, the one before is forgotten.
+REMEMBERED = 400_000
+#: Marks that often follow a word; several in a row are one part.
+_MARKS = b".,;:!?"
 
 
 _encoders: dict[str, Encoder] = {}
@@ -52,36 +56,52 @@ def encoder(path: str) -> Encoder:
 
 
 class Encoder:
-    """Texts to ids, as the bytes of unsigned integers of ``kind``."""
+    """Texts to ids, as the bytes of unsigned integers of ``kind``.
+
+    For tokenizers of the kind that ``_splits_at_space`` knows, new pieces go through the steps of
+    the file one by one: lower case and composed form, the file's expression, bytes as
+    letters, merges. That spares the library's bookkeeping of offsets, most of its time.
+    Pieces with a character newer than Unicode 3.2, where tables may differ, or with a
+    special token take the library's whole way.
+    """
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import WhitespaceSplit
 
         self.tokenizer = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as file:
             plan = json.load(file)
         self.by_piece = self._splits_at_space(plan)
+        #: Pieces of this generation and of the one before.
         self.known: dict[bytes, bytes] = {}
-        vocabulary = self.tokenizer.get_vocab()
-        most = max(vocabulary.values())
+        self.before: dict[bytes, bytes] = {}
+        most = max(self.tokenizer.get_vocab().values())
         self.kind = "<u2" if most < 1 << 16 else "<u4"
-        self.word_end = np.zeros(most + 1, bool)
+        self.settled: set[str] = set()
         if self.by_piece:
+            self.bare = Tokenizer(self.tokenizer.model)
+            self.bare.pre_tokenizer = WhitespaceSplit()
+            self.part_end = np.zeros(most + 1, bool)
             suffix = plan["model"]["end_of_word_suffix"]
-            self.word_end[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
+            self.part_end[[i for token, i in self.tokenizer.get_vocab().items() if token.endswith(suffix)]] = True
+            self.parts = regex.compile(plan["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]).findall
 
     @staticmethod
     def _splits_at_space(plan: dict) -> bool:
-        """Whether white space is dropped, words end in a suffix, and nothing depends on what stands around."""
-        before = plan["pre_tokenizer"] or {}
-        first = (before.get("pretokenizers") or [before])[0]
-        known = {"NFC", "Replace", "Lowercase", "Sequence"}
+        """Whether white space is dropped, letters stay together, bytes stand for characters, and nothing depends on what stands around."""
+        before = (plan["pre_tokenizer"] or {}).get("pretokenizers") or [{}]
+        first, last = before[0], before[-1]
+        known = {"NFC", "Replace", "Lowercase"}
         kinds = {n["type"] for n in (plan["normalizer"] or {}).get("normalizers", [])}
+        model = plan["model"]
         return bool(
-            first.get("type") == "Split" and first.get("behavior") == "Removed" and first.get("invert")
-            and r"[\p{L}]+" in first["pattern"].get("Regex", "") and plan["post_processor"] is None
-            and plan["model"].get("end_of_word_suffix") and kinds <= known
-            and "Lowercase" in kinds
+            len(before) == 2 and last.get("type") == "ByteLevel" and not (last.get("add_prefix_space") or last.get("use_regex"))
+            and first.get("type") == "Split" and first.get("behavior") == "Removed" and first.get("invert")
+            and r"[^\s\p{L}\p{N}]+" in first["pattern"].get("Regex", "") and plan["post_processor"] is None
+            and model["type"] == "BPE" and not (model.get("dropout") or model.get("unk_token") or model.get("byte_fallback"))
+            and model.get("end_of_word_suffix") and not model.get("continuing_subword_prefix")
+            and kinds == known
             and all(t["content"].startswith("<|") and not (t["lstrip"] or t["rstrip"] or t["single_word"]) for t in plan["added_tokens"])
         )
 
@@ -89,47 +109,96 @@ class Encoder:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, self.kind).tobytes() for e in found]
 
-    def _words(self, words: list[str]) -> list[bytes]:
-        """Ids of words of letters: encoded side by side and cut where a token ends a word."""
-        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, self.kind)
-        ends = np.flatnonzero(self.word_end[ids]) + 1
-        if len(ends) != len(words):
-            return self._plain(words)
-        raw = ids.tobytes()
-        edge = (np.r_[0, ends] * ids.itemsize).tolist()
-        return [raw[a:b] for a, b in zip(edge[:-1], edge[1:])]
+    def _encode_parts(self, new: list[bytes]) -> None:
+        """Ids of what the expression finds: many side by side, cut where a token ends a part."""
+        for at in range(0, len(new), 4000):
+            some = new[at : at + 4000]
+            letters = b" ".join(some).decode("latin-1")
+            if not (letters.isascii() and letters.isprintable()):  # those stand for themselves
+                letters = letters.translate(_BYTES_AS_LETTERS)
+            ids = np.array(self.bare.encode_batch_fast([letters], add_special_tokens=False)[0].ids, self.kind)
+            edge = [0, *((np.flatnonzero(self.part_end[ids]) + 1) * ids.itemsize).tolist()]
+            raw = ids.tobytes()
+            self.known.update(zip(some, [raw[a:b] for a, b in pairwise(edge)], strict=True))
+
+    def _lowered(self, pieces: list[str]) -> list[str] | None:
+        """Composed and in lower case, as the file says; nothing if a piece does not stay one."""
+        out = self.tokenizer.normalizer.normalize_str(" ".join(pieces)).split(" ")
+        return out if len(out) == len(pieces) else None
+
+    def _settled(self, piece: str) -> bool:
+        new = set(piece) - self.settled
+        fine = {c for c in new if unicodedata.ucd_3_2_0.category(c) != "Cn" and not c.isspace()}
+        self.settled |= fine
+        return len(fine) == len(new)
 
     def _learn(self, pieces: list[bytes]) -> None:
-        """Encode pieces not met before; letters with a tail of marks share the ids of the letters."""
-        known, cores, odd = self.known, {}, []
+        """Encode pieces not met before. Most are letters and perhaps marks, of which no list is made."""
+        known, parts, marks = self.known, self.parts, _MARKS.decode()
+        known[b""] = b""
+        new, wide, whole = set(), [], []
+        word, head, tail, odd, odd_parts = [], [], [], [], []
+
         for piece in pieces:
-            core = piece.rstrip(_TAIL)
-            if core.isalpha() or core.decode().isalpha():
-                cores[piece] = core
-            else:
+            if piece.isalpha():  # ASCII letters
+                new.add(piece)
+            elif b"<|" in piece:
+                whole.append(piece)
+            elif (core := piece.rstrip(_MARKS)).isalpha():
+                word.append(piece)
+                head.append(core)
+                tail.append(piece[len(core) :])
+            elif piece.isascii():
                 odd.append(piece)
-        new = list(set(cores.values()) - known.keys())
-        for at in range(0, len(new), 2000):
-            part = new[at : at + 2000]
-            known.update(zip(part, self._words(b" ".join(part).decode().split(" "))))
-        tails = {p[len(c) :] for p, c in cores.items()} - known.keys()
-        known.update(zip(tails, self._plain([t.decode() for t in tails])))
-        known.update([(p, known[c] + known[p[len(c) :]]) for p, c in cores.items() if len(p) > len(c)])
-        known.update(zip(odd, self._plain([p.decode() for p in odd])))
+                odd_parts.append([p.encode() for p in parts(piece.decode())])
+            else:
+                wide.append(piece)
+        for at in range(0, len(wide), 2000):
+            text = [p.decode() for p in wide[at : at + 2000]]
+            fine = [True] * len(text) if self._settled("".join(text)) else list(map(self._settled, text))
+            whole += [p for p, ok in zip(wide[at : at + 2000], fine) if not ok]
+            some = [p for p, ok in zip(wide[at : at + 2000], fine) if ok]
+            lowered = self._lowered([t for t, ok in zip(text, fine) if ok]) if some else []
+            if lowered is None:
+                whole += some
+            else:
+                for piece, low in zip(some, lowered):
+                    core = low.rstrip(marks)
+                    if core.isalpha():
+                        word.append(piece)
+                        head.append(core.encode())
+                        tail.append(low[len(core) :].encode())
+                    else:
+                        odd.append(piece)
+                        odd_parts.append([p.encode() for p in parts(low)])
+        new.update(head, tail, *odd_parts)
+        self._encode_parts(sorted(new.difference(known), key=bytes.isascii))
+        ids = known.__getitem__
+        known.update(zip(word, list(map(add, map(ids, head), map(ids, tail)))))
+        known.update(zip(odd, [b"".join(map(ids, found)) for found in odd_parts]))
+        known.update(zip(whole, self._plain([p.decode() for p in whole])))
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Ids of each text."""
         if not self.by_piece:
             return self._plain([t.decode() for t in texts])
         if len(self.known) > REMEMBERED:
-            self.known.clear()
+            self.known, self.before = {}, self.known
         # A-Z may be lowered before, as the tokenizer does it, but where a special token could come of it
         pieces = [(t if b"<|" in t else t.lower()).split() for t in texts]
-        if new := set().union(*pieces) - self.known.keys():
-            self._learn(list(new))
+        if new := set().union(*pieces).difference(self.known):
+            met = [p for p in new if p in self.before]
+            self.known.update(zip(met, map(self.before.__getitem__, met)))
+            self._learn(list(new.difference(met)))
         return [b"".join(map(self.known.__getitem__, p)) for p in pieces]
 
 
+#: The usual stand-ins of bytes in byte-level vocabularies: printable Latin-1 stands for itself, the rest for 256 and
+#: up. The space is left alone: no part holds one, and it parts them.
+_SHOWN = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_BYTES_AS_LETTERS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _SHOWN) if b != 32}
+
+
 def write(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> DataFrame:
     """Write all texts as token files; returns the table of parts.
 
