@@ -16,12 +16,7 @@ from buyerscope.sources.staging import staged
 QUERIES: dict = {}
 ORACLE: dict = {}
 
-# All models have the published settings. Only the searches draw fewer settings, over all customers and all
-# features: a boosting round takes 0.2 s on one machine, so that 25 draws in 3 folds would take hours.
 SETTINGS = ModelSettings()
-SEARCH_ROUNDS = 8
-SEARCH_DRAWS = 2
-QUICK_SEARCH = {"maxIter": [5, 10], "stepSize": [0.05, 0.1], "maxDepth": [2, 3]}
 PIPELINE = twostage.TwoStagePipeline(SETTINGS)
 
 
@@ -58,14 +53,12 @@ def fit_classifier(spark, d):
 
 @_add("fit_regressor")
 def fit_regressor(spark, d):
-    """Early-stopped boosting on buyers: the round it stopped at, and the last errors."""
+    """Boosting on buyers cut to its best round on validation: that round, and both errors there."""
     rows, names = _rows(spark, d)
-    model = twostage.fit_regressor(
-        search.early_stopped_regressor(), search.with_validation_flag(rows)
-    )
-    train, valid = (twostage.buyers(p) for p in _parts(rows))
-    curve = search.learning_curve(model, train, valid)
-    return shaped(curve.orderBy(F.desc("iteration")).limit(1).withColumn("n_features", F.lit(len(names))))
+    train, valid = _parts(rows)
+    model = search.fit_best_prefix(search.watched_regressor(), train, valid)
+    curve = search.learning_curve(model, twostage.buyers(train), twostage.buyers(valid))
+    return shaped(curve.where(F.col("iteration") == len(model.trees)).withColumn("n_features", F.lit(len(names))))
 
 
 @_add("buy_probability")
@@ -117,14 +110,9 @@ def two_stage_run(spark, d):
 def random_search(spark, d):
     rows, _ = _rows(spark, d)
     train, _ = _parts(rows)
-    clf = search.random_search(
-        train, search.boosting_classifier(SEARCH_ROUNDS), QUICK_SEARCH, draws=3, folds=3
-    )
-    reg = search.random_search(
-        train, search.boosting_regressor(SEARCH_ROUNDS), QUICK_SEARCH, draws=3, folds=3
-    )
-    both = search.search_table(spark, clf).withColumn("stage", F.lit("classifier"))
-    return shaped(both.unionByName(search.search_table(spark, reg).withColumn("stage", F.lit("regressor"))))
+    found = [search.random_search(train, base, search.BOOSTING_GRID).table(spark) for base in search.BOOSTING_BASES]
+    both = [t.withColumn("stage", F.lit(stage)) for t, stage in zip(found, ("classifier", "regressor"))]
+    return shaped(both[0].unionByName(both[1]))
 
 
 @_add("top_features")
@@ -149,7 +137,7 @@ def permutation_importance(spark, d):
 def learning_curve(spark, d):
     rows, _ = _rows(spark, d)
     train, valid = (twostage.buyers(p) for p in _parts(rows))
-    model = search.boosting_regressor(loss="absolute").fit(train)
+    model = search.watched_regressor().fit(train)
     return shaped(search.learning_curve(model, train, valid))
 
 
@@ -180,18 +168,17 @@ def _tables(spark, d) -> tuple[DataFrame, DataFrame, DataFrame]:
 
 @_add("forest_search")
 def forest_search(spark, d):
-    """The published forest grid searched for both stages, the best refitted, and how its test scores spread."""
-    bases = (twostage.default_classifier(SETTINGS), twostage.default_regressor(SETTINGS))
+    """The published grid of randomized-split forests searched for both stages, the best refitted, and how its test scores spread."""
     grids = (search.FOREST_GRID, search.FOREST_GRID)
-    table, run = chains.tuned_run(PIPELINE, _tables(spark, d), bases, grids, draws=SEARCH_DRAWS)
+    table, run = chains.tuned_run(PIPELINE, _tables(spark, d), search.FOREST_BASES, grids)
     return shaped(table.withColumn("n_scored", F.lit(run.scored.count())).withColumn("strategy", F.lit(run.strategy)))
 
 
 @_add("ensemble_test_customers")
 def ensemble_test_customers(spark, d):
-    """Boosting and unbagged forests, each behind its threshold, weighted and refitted: scored test customers."""
+    """Boosting and randomized-split forests, each behind its threshold, weighted and refitted: scored test customers."""
     first = (search.boosting_classifier(), search.boosting_regressor())
-    second = (search.unbagged_forest_classifier(SETTINGS), search.unbagged_forest_regressor(SETTINGS))
+    second = (search.randomized_classifier(SETTINGS), search.randomized_regressor(SETTINGS))
     return shaped(chains.ensemble_run(PIPELINE, _tables(spark, d), first, second).scored)
 
 

@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from buyerscope.features import store
@@ -140,22 +141,20 @@ def test_failed_pair_is_reported(spark, data):
 def test_search_leads_to_scored_customers(spark, data):
     from buyerscope.models import chains
 
-    bases = (twostage.default_classifier(SETTINGS), twostage.default_regressor(SETTINGS))
-    grid = {"numTrees": [2, 3], "maxDepth": [2, 3], "bootstrap": [False, True]}
-    table, run = chains.tuned_run(twostage.TwoStagePipeline(SETTINGS), data, bases, (grid, grid), draws=2, folds=2)
+    grid = {"trees": [2, 3], "depth": [2, None], "bootstrap": [False, True]}
+    table, run = chains.tuned_run(twostage.TwoStagePipeline(SETTINGS), data, search.FOREST_BASES, (grid, grid), draws=2, folds=2)
     rows = table.collect()
     assert sorted(r.stage for r in rows) == ["classifier"] * 2 + ["regressor"] * 2
     best = max((r for r in rows if r.stage == "classifier"), key=lambda r: r.score).params
-    assert f"numTrees={run.classifier.getNumTrees}" in best
+    assert f"trees={len(run.classifier.trees)}" in best
     assert run.scored.count() == data[2].count()
-    shown = {p.name: v for p, v in bases[0].extractParamMap().items()}
-    assert shown["numTrees"] == 5  # the base estimator is left as it was
+    assert search.FOREST_BASES[0].spec.trees == 100  # the base estimator is left as it was
 
 
 def test_ensemble_scores_every_test_customer(spark, data):
     from buyerscope.models import chains
 
-    forest = (twostage.default_classifier(SETTINGS), twostage.default_regressor(SETTINGS))
+    forest = (search.randomized_classifier(SETTINGS), search.randomized_regressor(SETTINGS))
     boosted = (search.boosting_classifier(3), search.boosting_regressor(3))
     run = chains.ensemble_run(twostage.TwoStagePipeline(SETTINGS), data, boosted, forest)
     assert {r.stage for r in run.board.collect()} == {"coarse", "fine"}
@@ -179,22 +178,33 @@ def test_combinations_match_pairs_judged_alone(spark, data):
     assert (one.AUC, one.MAE) == pytest.approx((board["b", "m"].AUC, board["b", "m"].MAE))
 
 
-def test_neighbours_match_brute_force(spark):
-    """Small rings and blocks, clusters, and one vector that a third of the rows share."""
-    from buyerscope.models.neighbours import knn_score
+def test_neighbours_match_brute_force(spark, monkeypatch):
+    """Blocks and small tiles, clusters far from the origin, many features, and one vector that a third of the rows share."""
+    from buyerscope.models import neighbours
+    from buyerscope.models.neighbours import Neighbours, knn_score
 
     rng = np.random.default_rng(11)
-    pts = np.vstack([rng.normal(c, 3, (150, 3)).round(1) for c in (0, 40, 300)] + [np.zeros((220, 3))])
-    labels = rng.integers(0, 2, len(pts))
-    asks = np.vstack([rng.normal(c, 5, (15, 3)).round(1) for c in (0, 40, 300, 1000)] + [np.zeros((2, 3))])
-    cols = "cust_id long, a double, b double, c double"
-    train = spark.createDataFrame([(i, *map(float, p), int(y)) for i, (p, y) in enumerate(zip(pts, labels))], cols + ", y int")
-    queries = spark.createDataFrame([(i, *map(float, p)) for i, p in enumerate(asks)], cols)
-    got = knn_score(train, queries, ["a", "b", "c"], "y", k=9, pivot_count=6, ring_rows=20, block=8)
-    got = {r.cust_id: r.score for r in got.collect()}
-    for i, q in enumerate(asks):
-        d = np.sqrt(sum((q[j] - pts[:, j]) ** 2 for j in range(3)))
-        assert got[i] == pytest.approx(labels[np.lexsort((np.arange(len(pts)), d))[:9]].mean())
+    monkeypatch.setattr(neighbours, "TILE", 500)
+    for width, far in ((3, 0.0), (40, 7e5)):
+        pts = np.vstack([rng.normal(c, 3, (150, width)).round(1) for c in (0, 40, 300)] + [np.zeros((220, width))]) + far
+        labels = rng.integers(0, 2, len(pts))
+        asks = np.vstack([rng.normal(c, 5, (15, width)).round(1) for c in (0, 40, 300, 1000)] + [np.zeros((2, width))]) + far
+        names = [f"f{i}" for i in range(width)]
+        cols = "cust_id long, " + ", ".join(f"{n} double" for n in names)
+        train = spark.createDataFrame([(i, *map(float, p), int(y)) for i, (p, y) in enumerate(zip(pts, labels))], cols + ", y int")
+        queries = spark.createDataFrame([(i, *map(float, p)) for i, p in enumerate(asks)], cols)
+        got = {r.cust_id: r.score for r in knn_score(train, queries, names, "y", k=9, block=20).collect()}
+        for i, q in enumerate(asks):
+            d = np.zeros(len(pts))
+            for j in range(width):
+                d += (q[j] - pts[:, j]) * (q[j] - pts[:, j])
+            assert got[i] == pytest.approx(labels[np.lexsort((np.arange(len(pts)), d))[:9]].mean())
+    vectors = array_to_vector(F.array(*names))
+    model = Neighbours(True, "y", 9).fit(train.withColumn("features", vectors))
+    scored = twostage.buy_probability(model, queries.withColumn("features", vectors)).collect()
+    assert {r.cust_id: r.p_buy for r in scored} == pytest.approx(got)
+    few = knn_score(train.limit(4), queries, names, "y", k=9).collect()
+    assert len(few) == len(asks) and knn_score(train.limit(0), queries, names, "y").collect() == []
 
 
 def test_jobs_from_files_to_scores(spark, small_items):
