@@ -12,9 +12,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from buyerscope.features import store
 from buyerscope.models import sweeps
+from buyerscope.models.twostage import DATE_FEATURES
 from buyerscope.operators import profile
 from buyerscope.operators.ranks import auc, grid_metrics
+from buyerscope.plans.features_check import feature_check
 from buyerscope.plans.shape import shaped, sql_int, sql_num
+from buyerscope.settings import TARGET
 from buyerscope.sources import files, retail_view as view
 from buyerscope.sources.staging import staged, staged_path
 
@@ -385,36 +388,34 @@ def leaderboard_rank(spark, d):
     return _metrics(sweeps.leaderboard(_board(preds), _published(preds)))
 
 
-_NEIGHBOUR_COLUMNS = ["n_items", "n_sales", "net", "last_day"]
+def _distance(columns: list[str]) -> str:
+    """Squared distance in SQL, added up in the order of the columns."""
+    gap = "(cast(q.{0} as double) - t.{0})"
+    return " + ".join(f"{gap.format(c)} * {gap.format(c)}" for c in columns)
 
 
-def _neighbour_facts(spark: SparkSession, d: str) -> DataFrame:
-    """A few whole-number features per customer, unscaled as in the published model."""
-    facts = store.select_features(
-        view.transactions(spark, d), view.FEATURES, ["n_items", "n_sales", "total_revenue_net", "last_purchase"]
-    )
-    return facts.selectExpr(
-        "cust_id", "n_items", "n_sales", "floor(total_revenue_net + 0.00003D) as net",
-        "datediff(last_purchase, date'1970-01-01') as last_day",
-    )
+def _neighbour_check() -> str:
+    """All features, rounded as the registered feature table shows them; dates as day numbers."""
+    head, tail = feature_check(store.kept_features()).rsplit("\nSELECT ", 1)
+    days = ", ".join(f"date_diff('day', date '1970-01-01', cast({c} as date)) AS {c}" for c in DATE_FEATURES)
+    return f"""{head},
+shown AS (SELECT {tail}),
+facts AS (SELECT * REPLACE ({days}) FROM shown),
+pairs AS (SELECT q.cust_id, case when l.revenue_2018_2019 > 0 then 1 else 0 end AS buyer,
+  row_number() OVER (PARTITION BY q.cust_id ORDER BY {_distance(store.kept_features())}, t.cust_id) AS n
+  FROM (SELECT facts.* FROM facts JOIN test USING (cust_id)) q, facts t JOIN train l ON l.cust_id = t.cust_id)
+SELECT {sql_int('cust_id', 'cust_id')}, {sql_num('avg(buyer)', 'score')} FROM pairs WHERE n <= 25 GROUP BY 1"""
 
 
-@_add(
-    "knn_score",
-    f"""{view.oracle_tables()},
-nf AS (SELECT cust_id, count(*) AS n_items, count(DISTINCT sale_id) AS n_sales, {_NET} AS net,
-  date_diff('day', date '1970-01-01', cast(max(order_date) as date)) AS last_day FROM tx GROUP BY 1),
-pairs AS (SELECT q.cust_id, case when l.revenue_2018_2019 > 0 then 1 else 0 end AS buyer,
-  row_number() OVER (PARTITION BY q.cust_id ORDER BY {' + '.join(f'(q.{c} - t.{c}) * (q.{c} - t.{c})' for c in _NEIGHBOUR_COLUMNS)}, t.cust_id) AS n
-  FROM (SELECT nf.* FROM nf JOIN test USING (cust_id)) q, nf t JOIN train l ON l.cust_id = t.cust_id)
-SELECT {sql_int('cust_id', 'cust_id')}, {sql_num('avg(buyer)', 'score')} FROM pairs WHERE n <= 25 GROUP BY 1""",
-)
+@_add("knn_score", _neighbour_check())
 def knn_score(spark, d):
+    """Mean buyer label of the 25 nearest training customers, on all features, unscaled as in the published model."""
     from buyerscope.models.neighbours import knn_score
 
-    facts = staged(_neighbour_facts(spark, d), "facts")
-    train = facts.join(view.train_labels(spark, d), "cust_id").withColumn(
-        "buyer", (F.col("revenue_2018_2019") > 0).cast("int")
-    )
+    items = staged(view.transactions(spark, d), "items")
+    shown = shaped(store.customer_features(items, view.FEATURES))
+    day = {c: F.datediff(F.to_date(F.col(c)), F.lit("1970-01-01")) for c in DATE_FEATURES}
+    facts = staged(shown.withColumns(day), "facts")
+    train = facts.join(view.train_labels(spark, d), "cust_id").withColumn("buyer", (F.col(TARGET) > 0).cast("int"))
     test = facts.join(view.test_customers(spark, d), "cust_id")
-    return shaped(knn_score(train, test, _NEIGHBOUR_COLUMNS, "buyer"))
+    return shaped(knn_score(train, test, store.kept_features(), "buyer"))
