@@ -213,9 +213,13 @@ def choices(spec: Spec, tree: np.ndarray, node: np.ndarray, width: int) -> np.nd
 
 
 def _cells(bins: np.ndarray, row: np.ndarray, choice: np.ndarray, at: np.ndarray) -> np.ndarray:
-    if choice.shape[1] == bins.shape[1]:
+    """The bytes that each row's node may take."""
+    width = bins.shape[1]
+    if choice.shape[1] == width:
         return bins[row]
-    return bins[row[:, None], choice[at]]
+    if 8 * choice.shape[1] < width:
+        return bins[row[:, None], choice[at]]
+    return np.take_along_axis(bins[row], choice[at], axis=1)
 
 
 def histogram(bins, row, at, m, y, choice) -> np.ndarray:
@@ -249,29 +253,38 @@ def ranges(bins, row, at, choice) -> np.ndarray:
     return out
 
 
+#: A count below this and a sum share a whole number of 64 bits.
+_COUNTS = 1 << 20
+
+
 def left_sums(bins, row, at, m, y, choice, cut) -> np.ndarray:
-    """(2, nodes, features): counts and sums at or below each node's cut points."""
+    """(2, nodes, features): counts and sums at or below each node's cut points; counts and targets are whole."""
     out = np.zeros((2, *choice.shape))
     if len(at):
         order, begin, here = _by_node(at)
         left = _cells(bins, row[order], choice, at[order]) <= cut[at[order]]
-        for i, w in enumerate((m[order], (m * y)[order])):
-            out[i][here] = np.add.reduceat(left * w[:, None], begin, axis=0, dtype=np.float64)
+        both = (m + m * y * _COUNTS).astype(np.int64)[order]
+        sums = np.add.reduceat(np.where(left, both[:, None], 0), begin, axis=0)
+        out[0][here], out[1][here] = sums & (_COUNTS - 1), sums >> 20
     return out
 
 
 def thresholds(asked: Asked, span: np.ndarray, values: np.ndarray) -> np.ndarray:
-    """One cut for each node and feature, even between least and greatest value; the lower bin where all are equal."""
+    """One cut for each node and feature, even between least and greatest value: below the greatest bin that is there."""
     low, high = np.minimum(span[0], BINS - 1).astype(np.int64), np.maximum(span[1], 0).astype(np.int64)
     u = hashed(asked.spec.seed, 3, asked.tree[:, None], asked.node[:, None], asked.choice)
     a, b = values[asked.choice, low], values[asked.choice, high]
     t = a + u * (b - a)
-    under, over = low.copy(), np.maximum(high, low + 1)  # the last bin whose value is at most t
-    while (over - under > 1).any():
-        mid = (under + over) // 2
-        down = values[asked.choice, np.minimum(mid, BINS - 1)] <= t
-        under, over = np.where(down, mid, under), np.where(down, over, np.maximum(mid, under + 1))
-    return np.minimum(under, np.maximum(high - 1, low))
+    under = low.copy()  # becomes the last bin whose value is at most t
+    wide = np.nonzero(high - low > 1)
+    if len(wide[0]):
+        f, goal, lo, hi = asked.choice[wide], t[wide], low[wide], high[wide]
+        while (open_ := hi - lo > 1).any():
+            mid = (lo + hi) // 2
+            down = values[f, mid] <= goal
+            lo, hi = np.where(down & open_, mid, lo), np.where(down | ~open_, hi, mid)
+        under[wide] = lo
+    return under
 
 
 def best_of_histogram(asked: Asked, hist: np.ndarray) -> Found:

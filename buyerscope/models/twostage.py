@@ -1,4 +1,4 @@
-"""Two-stage buy / how-much model on MLlib.
+"""Two-stage buy / how-much model.
 
 Stage one predicts the chance to buy, stage two the log revenue of buyers; the result
 is either their product or the amount behind a hard threshold, whichever has the lower
@@ -10,14 +10,14 @@ from __future__ import annotations
 from dataclasses import dataclass, field, replace
 
 from pyspark.ml import Estimator, Model
-from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import DataFrame, functions as F
 
 from buyerscope.functions.exprs import clip0, date_ordinal
 from buyerscope.models import sweeps
+from buyerscope.models.ensembles import Trees
+from buyerscope.models.trees import Spec
 from buyerscope.operators.ranks import auc
 from buyerscope.operators.split import stratified_split
 from buyerscope.schema import conform_columns, numeric_columns
@@ -87,20 +87,16 @@ def with_balanced_weight(df: DataFrame) -> DataFrame:
     return df.withColumn("weight", sizes["n"] / (of_class * 2.0))
 
 
-def default_classifier(s: ModelSettings) -> RandomForestClassifier:
-    return RandomForestClassifier(
-        labelCol="target_binary", featuresCol="features", weightCol="weight",
-        numTrees=s.classifier_trees, maxDepth=s.max_depth, minInstancesPerNode=s.min_leaf,
-        featureSubsetStrategy="sqrt", seed=s.seed,
+def default_classifier(s: ModelSettings) -> Trees:
+    """Bagged trees on classes that weigh the same."""
+    spec = Spec(
+        True, False, s.classifier_trees, s.max_depth, s.min_leaf, features="sqrt", bootstrap=True, balanced=True, seed=s.seed
     )
+    return Trees(spec, "target_binary")
 
 
-def default_regressor(s: ModelSettings) -> RandomForestRegressor:
-    return RandomForestRegressor(
-        labelCol="target_log", featuresCol="features", numTrees=s.regressor_trees,
-        maxDepth=s.max_depth, minInstancesPerNode=s.min_leaf, featureSubsetStrategy="all",
-        seed=s.seed,
-    )
+def default_regressor(s: ModelSettings) -> Trees:
+    return Trees(Spec(False, False, s.regressor_trees, s.max_depth, s.min_leaf, bootstrap=True, seed=s.seed), "target_log")
 
 
 def fit_classifier(estimator: Estimator, train: DataFrame) -> Model:
