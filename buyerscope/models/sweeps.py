@@ -90,10 +90,11 @@ def strategy_choice(preds: DataFrame, values=PIPELINE_THRESHOLDS, unit: float =
     )
 
 
-def alpha_sweep(preds: DataFrame, values=ALPHAS) -> DataFrame:
-    """MAE and Spearman of ``p^alpha * amount``, rounded so that powers equal but for the last bit tie."""
+def alpha_sweep(preds: DataFrame, values=ALPHAS, digits: int | None = None) -> DataFrame:
+    """MAE and Spearman of ``p^alpha * amount``; with ``digits`` powers equal but for the last bit tie."""
     rows = ranked_truth(preds).select("y", "y_rank", "p_buy", "amount", grid(values, 10.0, "alpha"))
-    scored = rows.withColumn("pred", F.round(clip0(F.pow("p_buy", "alpha") * clip0("amount")), 6))
+    pred = clip0(F.pow("p_buy", "alpha") * clip0("amount"))
+    scored = rows.withColumn("pred", pred if digits is None else F.round(pred, digits))
     return grid_metrics(scored, ["alpha"], "y", "y_rank", "pred").select("alpha", "MAE", "Spearman")
 
 

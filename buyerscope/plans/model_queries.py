@@ -216,7 +216,7 @@ _ALPHAS = ", ".join(str(a) for a in sweeps.ALPHAS)
 SELECT {sql_num('alpha', 'alpha')}, {_MAE}, {_RHO} FROM scored""",
 )
 def alpha_sweep(spark, d):
-    return _metrics(sweeps.alpha_sweep(predictions(spark, d)))
+    return _metrics(sweeps.alpha_sweep(predictions(spark, d), digits=6))
 
 
 _MIX = "greatest(w * pred_first + (1.0 - w) * pred_second, 0)"

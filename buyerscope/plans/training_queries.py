@@ -1,4 +1,4 @@
-"""Registered queries that train models. They have no SQL form; rows and ranges are checked."""
+"""Registered queries that train models. SQL checks what does not depend on a learner; rows and ranges the rest."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from buyerscope.features import store
 from buyerscope.models import chains, search, sweeps, twostage
-from buyerscope.plans.shape import shaped
+from buyerscope.plans.shape import shaped, sql_num
 from buyerscope.settings import ModelSettings
 from buyerscope.sources import retail_view as view
 from buyerscope.sources.staging import staged
@@ -61,6 +61,11 @@ def fit_regressor(spark, d):
     return shaped(curve.where(F.col("iteration") == len(model.trees)).withColumn("n_features", F.lit(len(names))))
 
 
+ORACLE["fit_classifier"] = f"""{view.oracle_tables()}
+SELECT count(*) AS n_customers, {sql_num("avg(CASE WHEN revenue_2018_2019 > 0 THEN 1.0 ELSE 0.0 END)", "buyer_ratio")},
+  cast({len(store.kept_features())} as bigint) AS n_features, cast({SETTINGS.classifier_trees} as bigint) AS n_trees FROM train"""
+
+
 @_add("buy_probability")
 def buy_probability(spark, d):
     rows, _ = _rows(spark, d)
