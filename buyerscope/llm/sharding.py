@@ -113,7 +113,7 @@ def _ranges(rows: DataFrame, total: int, shards: int) -> tuple[list[str], list[t
 def shard(docs: DataFrame, shards: int = SHARDS, size: Column | None = None) -> DataFrame:
     """``docs`` with shard and slot (gapless from 0 in each shard, in key order)."""
     size = text_size() if size is None else size
-    number = F.pmod(F.monotonically_increasing_id(), F.lit(1 << 40))
+    number = F.monotonically_increasing_id()
     keyed = docs.select(
         F.struct("*").alias("row"),
         size.alias("size"),

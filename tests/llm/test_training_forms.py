@@ -11,7 +11,7 @@ import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from buyerscope.llm import fill_middle, importance, quality_model, queries
+from buyerscope.llm import fill_middle, importance, quality_model, queries, sharding
 from buyerscope.llm.common import table
 from buyerscope.sources.staging import staged
 from tests.llm.test_corpus_operators import SMALL, _texts, none_last
@@ -269,6 +269,16 @@ def test_quality_defined_cases(spark, docs, odd, empty):
     assert ids.count() == sum(zlib.crc32(str(i).encode()) % 3 != 1 for i in (5, 6, 9))
 
 
+# --- op2
+
+
+def test_equal_rows_in_many_partitions_have_places_of_their_own(spark):
+    rows = spark.range(0, 300, 1, 300).select(F.lit(7).cast("long").alias("doc_id"), F.lit("the same").alias("text"))
+    got = sharding.shard(rows, 5).collect()
+    places = sorted((r.shard, r.slot) for r in got)
+    assert places == [(k, i) for k in range(5) for i in range(60)]
+
+
 # --- the queries
 
 
