@@ -75,13 +75,19 @@ def _sum_if(cond: str, x: str) -> str:
     return f"coalesce(sum(case when {cond} then {x} end), 0D)"
 
 
-def _pop_std(n: str, total: str, squares: str) -> str:
-    """Population deviation from count, sum and sum of squares.
+def _pop_std(n: str, total: str, squares: str, unit: int = 1) -> str:
+    """Population deviation from count, sum and sum of squares of whole numbers, ``unit`` of them to one.
 
-    Only used on whole and half numbers (days, shoe sizes), whose sums are exact in a
-    double, so equal values give exactly 0.
+    Both products are whole decimals of 38 digits, so nothing cancels however many rows
+    there are: n * squares stays below 10^38 for 10^10 rows of values up to 10^9.
     """
-    return f"sqrt(greatest({n} * {squares} - {total} * {total}, 0D)) / nullif({n}, 0)"
+    n_, total_, squares_ = (f"cast({v} as decimal(38, 0))" for v in (n, total, squares))
+    return f"sqrt(cast({n_} * {squares_} - {total_} * {total_} as double)) / nullif({n} * {unit}L, 0)"
+
+
+#: Sizes are squared as whole millionths.
+SIZE_UNIT = 1_000_000
+SIZE_UNITS = f"try_cast(prod_size * {SIZE_UNIT} as decimal(18, 0))"
 
 
 SALE_COLUMNS = (
@@ -121,12 +127,14 @@ def sale_level(items: DataFrame, settings: FeatureSettings, place: Place) -> Dat
         "disc_max": f"max(case when {KEPT} then {disc} end)",
         "discounted": f"count_if({KEPT} and {disc} > 0)",
         "pack_n": f"count(case when {KEPT} then days_to_pack end)",
-        "pack_sum": f"sum(case when {KEPT} then cast(days_to_pack as double) end)",
-        "pack_sq": f"sum(case when {KEPT} then cast(days_to_pack * days_to_pack as double) end)",
+        "pack_sum": f"sum(case when {KEPT} then days_to_pack end)",
+        "pack_sq": f"sum(case when {KEPT} then days_to_pack * days_to_pack end)",
         "pack_max": f"max(case when {KEPT} then days_to_pack end)",
         "size_n": "count(prod_size)",
         "size_sum": "sum(prod_size)",
-        "size_sq": "sum(prod_size * prod_size)",
+        "units_n": f"count({SIZE_UNITS})",
+        "units_sum": f"sum({SIZE_UNITS})",
+        "units_sq": f"sum({SIZE_UNITS} * {SIZE_UNITS})",
         "size_lo": "min(prod_size)",
         "size_hi": "max(prod_size)",
         "rev_returned": f"sum(case when {RETURNED} then {rev} end)",
@@ -181,7 +189,9 @@ def sale_features(items: DataFrame, settings: FeatureSettings, place: Place) ->
         "avg_sale_discount_ratio": f"avg({when(sold, _basket_ratio('disc_kept', 'rev_kept'))})",
         "avg_items_per_sale": f"avg({when(sold, 'rows_kept')})",
         **sums("rows_kept", "rev_kept", "disc_kept", "disc_cnt", "discounted", "rev_returned"),
-        **sums(*[f"{what}_{k}" for what in ("pack", "size") for k in ("n", "sum", "sq")]),
+        **sums("pack_n", "size_n", "size_sum", "units_n"),
+        **{n: f"sum(cast({n} as decimal(28, 0)))" for n in ("pack_sum", "pack_sq", "units_sum")},
+        "units_sq": "sum(units_sq)",
         **sums(*[f"{f}_{k}_{part}" for f in FLAGS for k in ("sum", "cnt") for part in ("all", "kept")]),
     }
     for d in RETURN_LOOKBACK_DAYS:
@@ -241,7 +251,7 @@ def _derive_sale_features(agg: DataFrame, settings: FeatureSettings) -> DataFram
         "recency_ratio": ("customer_lifetime_days", "days_from_first_purchase_to_reference"),
         "purchase_frequency": ("n_sales_non_returned", "customer_lifetime_days + 1"),
         "items_per_sale": ("n_items_non_returned", "n_sales_non_returned"),
-        "avg_days_to_pack": ("pack_sum", "pack_n"),
+        "avg_days_to_pack": ("cast(pack_sum as double)", "pack_n"),
         "size_mean": ("size_sum", "size_n"),
         "share_web_only_non_returned": ("prod_web_only_sum_kept", "prod_web_only_cnt_kept"),
         "share_outlet_non_returned": ("prod_outlet_sum_kept", "prod_outlet_cnt_kept"),
@@ -258,7 +268,7 @@ def _derive_sale_features(agg: DataFrame, settings: FeatureSettings) -> DataFram
     third = {name: sql_ratio(a, b) for name, (a, b) in ratios.items()}
     third |= {
         "std_days_to_pack": _pop_std("pack_n", "pack_sum", "pack_sq"),
-        "size_std": _pop_std("size_n", "size_sum", "size_sq"),
+        "size_std": _pop_std("units_n", "units_sum", "units_sq", SIZE_UNIT),
         "days_since_last_return": sql_days("last_return_ts", ref),
     }
     for share in ("share_discounted_items", "share_outlet", "share_web_only"):
@@ -312,8 +322,8 @@ def order_features(items: DataFrame, settings: FeatureSettings, place: Place) ->
         {
             "stamps": "sum(stamps)",
             "rows": "sum(rows)",
-            "gap_sum": "cast(coalesce(sum(gap), 0) as double)",
-            "gap_sq": "cast(coalesce(sum(gap * gap), 0) as double)",
+            "gap_sum": "coalesce(sum(gap), 0)",
+            "gap_sq": "coalesce(sum(gap * gap), 0)",
             "min_days_between_orders": "cast(min(if(stamps > 1, 0, gap)) as bigint)",
             "max_days_between_orders": "cast(max(coalesce(gap, if(stamps > 1, 0, null))) as bigint)",
             "fast": "sum(stamps - 1 + if(gap <= 60, 1, 0))",

@@ -44,7 +44,7 @@ def ranked_truth(preds: DataFrame, y: str = "y", key: str = "cust_id") -> DataFr
     """
     if "y_rank" in preds.columns:
         return preds
-    return staged(with_rank(staged(preds, "predictions"), y, "y_rank", [key]), "ranked")
+    return staged(with_rank(staged(preds, "predictions"), y, "y_rank"), "ranked")
 
 
 def threshold_sweep(preds: DataFrame, values=PIPELINE_THRESHOLDS, unit: float = 100.0) -> DataFrame:

@@ -3,9 +3,10 @@
 A quantile with linear interpolation needs the values at two neighbouring ranks. To
 find them the distinct values are counted, the counts are added up per coarse bucket
 of an order-keeping scale, and only the buckets that hold a wanted rank are looked at
-value by value. No step holds more of one group than its buckets (a few ten thousand
-at most) or the distinct values of a single bucket, so one group may hold any share
-of the rows.
+value by value. A bucket of too many distinct values is cut at their own quantiles, which
+a sketch of bounded size estimates. No step holds more of one group than its buckets, or
+the distinct values of one bucket or part, so one group may hold any share of the rows and
+its values may lie close together.
 """
 
 from __future__ import annotations
@@ -13,6 +14,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 STEPS_PER_OCTAVE = 256
+#: Distinct values of a bucket that one task sorts; a larger bucket is cut into ``CUTS`` parts, so up to
+#: ``CUTS`` times as many keep to this figure, and parts grow with the values beyond that.
+MOST_VALUES = 1_000_000
+CUTS = 1_000
 
 
 def scale_bucket(x: Column) -> Column:
@@ -35,11 +40,11 @@ def value_counts(df: DataFrame, keys: list[str], value: str) -> DataFrame:
 
 
 def bucket_offsets(counts: DataFrame, keys: list[str]) -> DataFrame:
-    """Per bucket: its rows, the rows below it, and the rows of the group."""
+    """Per bucket: its rows and distinct values, the rows below it, and the rows of the group."""
     lower = Window.partitionBy(*keys).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     return (
         counts.groupBy(*keys, "bucket")
-        .agg(F.sum("n").alias("in_bucket"))
+        .agg(F.sum("n").alias("in_bucket"), F.count(F.lit(1)).alias("n_values"))
         .withColumns(
             {
                 "below": F.coalesce(F.sum("in_bucket").over(lower), F.lit(0)),
@@ -49,8 +54,46 @@ def bucket_offsets(counts: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
+def with_start(
+    counts: DataFrame, offsets: DataFrame, keys: list[str], also: tuple[str, ...] = (),
+    most: int = MOST_VALUES, cuts: int = CUTS,
+) -> DataFrame:
+    """Joins value counts to their buckets and adds ``start``, the rows of the group below a value.
+
+    ``offsets`` has one row per keys, bucket and ``also``, from ``bucket_offsets``; counts of
+    other buckets drop out.
+    """
+    at = [*keys, "bucket"]
+
+    def below(by: list[str], order: str, n: str) -> Column:
+        w = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        return F.coalesce(F.sum(n).over(w), F.lit(0))
+
+    small = counts.join(offsets.where(F.col("n_values") <= most), at)
+    small = small.withColumn("start", F.col("below") + below([*at, *also], "value", "n"))
+
+    large = offsets.where(F.col("n_values") > most)
+    shares = F.array(*[F.lit(i / cuts) for i in range(1, cuts)])
+    points = (
+        counts.join(large.select(*at).distinct(), at, "left_semi")
+        .groupBy(*at)
+        .agg(F.percentile_approx("value", shares, F.lit(10 * cuts)).alias("points"))
+    )
+    cut = counts.join(points, at).withColumn("part", F.size(F.filter("points", lambda p: p < F.col("value"))))
+    parts = (
+        cut.groupBy(*at, "part")
+        .agg(F.sum("n").alias("in_part"))
+        .withColumn("part_below", below(at, "part", "in_part"))
+        .drop("in_part")
+    )
+    placed = cut.drop("points").join(parts, [*at, "part"])
+    placed = placed.withColumn("in_bucket_start", F.col("part_below") + below([*at, "part"], "value", "n"))
+    placed = placed.join(large, at).withColumn("start", F.col("below") + F.col("in_bucket_start"))
+    return small.unionByName(placed.select(*small.columns))
+
+
 def grouped_quantiles(
-    df: DataFrame, keys: list[str], value: str, probs: list[float], out: str = "q"
+    df: DataFrame, keys: list[str], value: str, probs: list[float], out: str = "q", most: int = MOST_VALUES
 ) -> DataFrame:
     """``keys, prob, q``: exact linear-interpolation quantiles of every group.
 
@@ -68,16 +111,9 @@ def grouped_quantiles(
         .where(
             (F.col("lo") < F.col("below") + F.col("in_bucket")) & (F.col("hi") >= F.col("below"))
         )
-        .select(*own, "bucket", "prob", "at", "lo", "hi", "below")
-    )
-    inside = Window.partitionBy(*own, "bucket", "prob").orderBy("value").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    ranked = (
-        counts.join(spans, own + ["bucket"])
-        .withColumn("upto", F.col("below") + F.sum("n").over(inside))
-        .withColumn("start", F.col("upto") - F.col("n"))
+        .select(*own, "bucket", "prob", "at", "lo", "hi", "below", "n_values")
     )
+    ranked = with_start(counts, spans, own, ("prob",), most).withColumn("upto", F.col("start") + F.col("n"))
 
     def at_rank(rank: str) -> Column:
         hit = (F.col(rank) >= F.col("start")) & (F.col(rank) < F.col("upto"))

@@ -1,42 +1,36 @@
 """Average ranks and the metrics built on them, without a whole-table sort window.
 
 Ranks are taken over distinct values: counts per value, offsets per coarse bucket, and
-a running count inside each bucket. Ties share their mean rank.
+a running count inside each bucket, or inside its parts where it holds too many values.
+Ties share their mean rank.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from buyerscope.operators.quantiles import bucket_offsets, scale_bucket
-from buyerscope.operators.skew import heavy_hitter_join
+from buyerscope.operators.quantiles import MOST_VALUES, bucket_offsets, scale_bucket, with_start
 
 
-def rank_counts(counts: DataFrame, keys: list[str]) -> DataFrame:
+def rank_counts(counts: DataFrame, keys: list[str], most: int = MOST_VALUES) -> DataFrame:
     """Adds ``rank`` (mean rank of the ties) and ``total`` to per-value counts.
 
     ``counts`` has ``keys``, ``value`` and ``n``. Keys and buckets together place the
-    rows, so the window below sees one bucket at a time. The bucket table has a fixed
-    greatest size per key and joins on that same placement.
+    rows, so a window sees one bucket at a time, or one part of a bucket with more than
+    ``most`` values.
     """
     bucketed = counts.withColumn("bucket", scale_bucket(F.col("value")))
-    offsets = bucket_offsets(bucketed, keys).drop("in_bucket")
-    inside = Window.partitionBy(*keys, "bucket").orderBy("value").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    return (
-        bucketed.join(offsets, keys + ["bucket"])
-        .withColumn("before", F.col("below") + F.coalesce(F.sum("n").over(inside), F.lit(0)))
-        .withColumn("rank", F.col("before") + (F.col("n") + 1) / 2.0)
-        .drop("bucket", "below", "before")
+    placed = with_start(bucketed, bucket_offsets(bucketed, keys).drop("in_bucket"), keys, most=most)
+    return placed.withColumn("rank", F.col("start") + (F.col("n") + 1) / 2.0).drop(
+        "bucket", "below", "n_values", "start"
     )
 
 
-def with_rank(df: DataFrame, value: str, out: str, spread_by: list[str]) -> DataFrame:
+def with_rank(df: DataFrame, value: str, out: str) -> DataFrame:
     """Adds the centred average rank of ``value`` (rank minus the mean rank) to every row.
 
-    A value shared by many rows, such as a revenue of 0, is looked up from a broadcast
-    of the few heavy values.
+    A value shared by many rows, such as a revenue of 0, is one row of the table of ranks;
+    adaptive execution cuts its side of the join into several tasks. NULL values drop out.
     """
     counts = (
         df.groupBy(F.col(value).cast("double").alias("value"))
@@ -46,7 +40,7 @@ def with_rank(df: DataFrame, value: str, out: str, spread_by: list[str]) -> Data
     ranks = rank_counts(counts, ["_one"]).select(
         F.col("value").alias(value), (F.col("rank") - (F.col("total") + 1) / 2.0).alias(out)
     )
-    return heavy_hitter_join(df, ranks, value, spread_by)
+    return df.join(ranks, value).select(*df.columns, out)
 
 
 def grid_metrics(

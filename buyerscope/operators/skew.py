@@ -1,14 +1,12 @@
 """Keeping one heavy key from becoming one heavy task.
 
-Two situations come up. Per-customer jobs want all rows of a customer in one
-partition, which saves every later shuffle but breaks down when one customer owns a
-large part of the table; ``HotSplit`` sends those few customers down the ordinary
-partial-aggregation path instead. Joins on a value with heavy repeats use
-``heavy_hitter_join``.
+Per-customer jobs want all rows of a customer in one partition, which saves every later
+shuffle but breaks down when one customer owns a large part of the table; ``HotSplit``
+sends those few customers down the ordinary partial-aggregation path instead. Joins need
+no such care: adaptive execution cuts heavy partitions of a plain join.
 
-In both, a key is heavy when it holds more than ``share`` of all rows. There can be at
-most ``1 / share`` such keys whatever the data size, which is what makes it safe to
-list or broadcast them.
+A key is heavy when it holds more than ``share`` of all rows, or ``CEILING`` of them. The
+list of heavy keys is broadcast: 1 / share of them, and one more per ``CEILING`` rows.
 """
 
 from __future__ import annotations
@@ -17,10 +15,8 @@ import math
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
-SALT = "_salt"
-SALTS = 256
 #: Rows that one task takes of a key at any size of the table.
 CEILING = 20_000_000
 
@@ -56,64 +52,12 @@ class HotSplit:
         """``job(rows, place)`` calls ``place(columns)`` on what it is about to group."""
         if not self.hot:
             return job(df, self._co_locate)
-        is_hot = F.col(self.key).isin(list(self.hot))
-        cold_out = job(df.where(~is_hot), self._co_locate)
-        hot_out = job(df.where(is_hot), lambda rows: rows)
+        kind = T.StructType([T.StructField("_hot", df.schema[self.key].dataType)])
+        listed = F.broadcast(df.sparkSession.createDataFrame([(k,) for k in self.hot], kind))
+        same = F.col(self.key).eqNullSafe(F.col("_hot"))
+        cold_out = job(df.join(listed, same, "left_anti"), self._co_locate)
+        hot_out = job(df.join(listed, same, "left_semi"), lambda rows: rows)
         return cold_out.unionByName(hot_out)
 
     def _co_locate(self, rows: DataFrame) -> DataFrame:
         return rows.repartition(self.key)
-
-
-def heavy_hitter_join(
-    rows: DataFrame,
-    table: DataFrame,
-    key: str,
-    spread_by: list[str],
-    how: str = "inner",
-    share: float = 0.001,
-) -> DataFrame:
-    """Equi-join to a table with one row per key, safe when a key repeats heavily.
-
-    Heavy keys (at most ``1 / share`` of them) are looked up from a broadcast; their
-    rows then go into the shuffle under a salt that matches nothing, so they spread
-    over all partitions. The salt is a hash of ``spread_by``, hence the same on a retry.
-    ``how`` is inner, left or left_semi.
-    """
-    total = rows.agg(F.count(F.lit(1)).alias("t")).scalar()
-    heavy_keys = (
-        rows.where(F.col(key).isNotNull())
-        .groupBy(key)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .where(F.col("_n") > total * F.lit(share))
-        .select(F.col(key).alias("_hk"))
-    )
-    values = [c for c in table.columns if c != key]
-    small = heavy_keys.join(
-        table.select(F.col(key).alias("_hk"), F.struct(F.lit(1).alias("hit"), *values).alias("_hv")),
-        "_hk",
-        "left",
-    )
-    marked = rows.join(F.broadcast(small), F.col(key) == F.col("_hk"), "left").withColumn(
-        SALT,
-        F.when(
-            F.col("_hk").isNotNull() | F.col(key).isNull(),
-            F.lit(1) + F.pmod(F.xxhash64(*spread_by), F.lit(SALTS)),
-        )
-        .otherwise(F.lit(0))
-        .cast("int"),
-    )
-    side = table.select(
-        F.col(key).alias("_tk"),
-        F.lit(0).alias("_ts"),
-        F.struct(F.lit(1).alias("hit"), *values).alias("_tv"),
-    )
-    joined = marked.join(
-        side, (F.col(key) == F.col("_tk")) & (F.col(SALT) == F.col("_ts")), "left"
-    ).withColumn("_v", F.coalesce("_hv", "_tv"))
-    if how in ("inner", "left_semi"):
-        joined = joined.where(F.col("_v").isNotNull())
-    keep = [F.col(c) for c in rows.columns]
-    if how != "left_semi":
-        keep += [F.col(f"_v.{c}").alias(c) for c in values]
-    return joined.select(*keep)

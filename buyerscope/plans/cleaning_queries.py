@@ -7,14 +7,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from buyerscope.features import store
 from buyerscope.functions import exprs as x
 from buyerscope.models.sweeps import clip0
-from buyerscope.operators import clean
-from buyerscope.operators.skew import heavy_hitter_join
+from buyerscope.operators import clean, target_stats
 from buyerscope.operators.split import stratified_split
 from buyerscope.plans.shape import shaped, sql_int, sql_num, sql_time
 from buyerscope.schema import TRANSACTIONS, conform_columns
 from buyerscope.settings import TARGET
 from buyerscope.sources import files, retail_view as view
-from buyerscope.sources.staging import staged_path
+from buyerscope.sources.staging import staged, staged_path
 
 QUERIES: dict = {}
 ORACLE: dict = {}
@@ -251,19 +250,72 @@ def infer_date_columns(spark, d):
     return shaped(clean.date_like_columns(rows, list(_TEXT)))
 
 
-@_add(
-    "prepared_frames",
-    f"""{WITH}
-SELECT {', '.join(IDS)}, {sql_int("date_diff('second', timestamp '1970-01-01', order_date)", "order_date")},
-  cast(coalesce(date_diff('second', timestamp '1970-01-01', try_cast({_BAD_DATE} as timestamp)), 0) as bigint) AS order_text,
-  coalesce(prod_brand, 'missing') AS prod_brand FROM alltx""",
-)
+def _prepared_sql(part: str) -> str:
+    return (
+        f"SELECT '{part}' AS part, {', '.join(IDS)}, "
+        f"""{sql_int("date_diff('second', timestamp '1970-01-01', order_date)", "order_date")}, """
+        f"cast(coalesce(date_diff('second', timestamp '1970-01-01', try_cast({_BAD_DATE} as timestamp)), 0) as bigint) AS order_text, "
+        f"coalesce(prod_brand, 'missing') AS prod_brand FROM alltx SEMI JOIN {part} USING (cust_id)"
+    )
+
+
+@_add("prepared_frames", f"{WITH}\n{_prepared_sql('train')} UNION ALL {_prepared_sql('test')}")
 def prepared_frames(spark, d):
+    """Rows of training customers decide what reads as a date; both parts are prepared alike."""
     rows = view.all_transactions(spark, d).select(
         "cust_id", "sale_id", "prod_id", "order_date", F.expr(_BAD_DATE).alias("order_text"), "prod_brand"
     )
-    frames, _ = clean.prepare_frames(rows, [])
-    return shaped(frames[0])
+    train = rows.join(view.train_labels(spark, d), "cust_id", "left_semi")
+    test = rows.join(view.test_customers(spark, d), "cust_id", "left_semi")
+    (a, b), _ = clean.prepare_frames(train, [test])
+    return shaped(a.withColumn("part", F.lit("train")).unionByName(b.withColumn("part", F.lit("test"))))
+
+
+FAVOURITES = ("prod_brand", "prod_season")
+_SEED = 42
+
+
+def _favourite_sql(c: str) -> str:
+    return (
+        f"f_{c} AS (SELECT cust_id, max({{'n': n, 'v': v}}) AS m FROM (SELECT cust_id, {c} AS v, count(*) AS n "
+        f"FROM tx WHERE {c} IS NOT NULL GROUP BY 1, 2) GROUP BY 1)"
+    )
+
+
+def _earlier_sql(c: str) -> str:
+    w = f"over (PARTITION BY {c} ORDER BY h ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    return sql_num(f"(coalesce(sum(y) {w}, 0) + prior) / (count(y) {w} + 1)", f"{c}_target_mean")
+
+
+def _trained_sql(c: str) -> str:
+    of = f"FROM t WHERE t.{c} = e.{c}"
+    return sql_num(f"(coalesce((SELECT sum(y) {of}), 0) + (SELECT avg(y) FROM t)) / ((SELECT count(*) {of}) + 1)", f"{c}_target_mean")
+
+
+_FAVOURED = ", ".join(f"coalesce(f_{c}.m.v, 'missing') AS {c}" for c in FAVOURITES)
+_FAVOURITE_JOINS = " ".join(f"LEFT JOIN f_{c} USING (cust_id)" for c in FAVOURITES)
+
+
+@_add(
+    "category_statistics",
+    f"""{WITH}, {', '.join(map(_favourite_sql, FAVOURITES))},
+t AS (SELECT cust_id, case when revenue_2018_2019 > 0 then 1.0 else 0.0 end AS y, md5('{_SEED}:' || cust_id) AS h,
+  avg(case when revenue_2018_2019 > 0 then 1.0 else 0.0 end) over () AS prior, {_FAVOURED} FROM train {_FAVOURITE_JOINS}),
+e AS (SELECT cust_id, {_FAVOURED} FROM test {_FAVOURITE_JOINS})
+SELECT 'train' AS part, {sql_int('cust_id', 'cust_id')}, {', '.join(map(_earlier_sql, FAVOURITES))} FROM t
+UNION ALL SELECT 'test', {sql_int('cust_id', 'cust_id')}, {', '.join(map(_trained_sql, FAVOURITES))} FROM e""",
+)
+def category_statistics(spark, d):
+    """Favourite brand and season of every customer as numbers that stage one can learn from."""
+    bought = view.transactions(spark, d).select("cust_id", *FAVOURITES)
+    favourites = staged(target_stats.dominant_values(bought, "cust_id", list(FAVOURITES)), "favourites")
+    labels = view.train_labels(spark, d).select("cust_id", (F.col(TARGET) > 0).cast("int").alias("target_binary"))
+    train = staged(labels.join(favourites, "cust_id", "left"), "train-categories")
+    test = view.test_customers(spark, d).join(favourites, "cust_id", "left")
+    (train, test), categories = clean.prepare_frames(train, [test])
+    a, b = target_stats.with_statistics(train, test, categories, "target_binary", ["cust_id"], seed=_SEED)
+    parts = a.drop("target_binary").withColumn("part", F.lit("train")).unionByName(b.withColumn("part", F.lit("test")))
+    return shaped(parts)
 
 
 @_add(
@@ -346,9 +398,7 @@ def buyers_only(spark, d):
 )
 def join_inner_labels(spark, d):
     items = view.transactions(spark, d).select("cust_id", "sale_id", "prod_id", "sale_revenue")
-    return shaped(
-        heavy_hitter_join(items, view.train_labels(spark, d), "cust_id", ["sale_id", "prod_id"])
-    )
+    return shaped(items.join(view.train_labels(spark, d), "cust_id"))
 
 
 _SMALL = (
@@ -433,7 +483,7 @@ def stratified_split_query(spark, d):
 def semi_join_split(spark, d):
     items = view.transactions(spark, d).select("cust_id", "sale_id", "prod_id")
     chosen = split_train(spark, d).where("is_validation = 0").select("cust_id")
-    return shaped(heavy_hitter_join(items, chosen, "cust_id", ["sale_id", "prod_id"], "left_semi"))
+    return shaped(items.join(chosen, "cust_id", "left_semi"))
 
 
 @_add(
@@ -456,13 +506,8 @@ def split_leak_check(spark, d):
     f"UNION ALL SELECT 'original', count(*), {sql_num('avg(case when revenue_2018_2019 = 0 then 1.0 else 0.0 end)', 'z')} FROM train",
 )
 def split_zero_rate(spark, d):
-    items = view.transactions(spark, d).select("cust_id", "sale_id", "prod_id")
-    split = split_train(spark, d)
-    per_customer = (
-        heavy_hitter_join(items, split, "cust_id", ["sale_id", "prod_id"])
-        .groupBy("cust_id", "is_validation")
-        .agg(F.first(TARGET, ignorenulls=True).alias(TARGET))
-    )
+    seen = view.transactions(spark, d).select("cust_id")
+    per_customer = split_train(spark, d).join(seen, "cust_id", "left_semi")
     zero = F.avg((F.col(TARGET) == 0).cast("double")).alias("zero_rate")
     parts = per_customer.groupBy(
         F.when(F.col("is_validation") == 1, "validation").otherwise("calibration").alias("part")

@@ -11,7 +11,6 @@ from buyerscope.features.store import customer_features
 from buyerscope.lifetime.value import enrich
 from buyerscope.models.twostage import TwoStagePipeline, TwoStageRun
 from buyerscope.operators.clean import clean
-from buyerscope.operators.skew import heavy_hitter_join
 from buyerscope.operators.split import stratified_split
 from buyerscope.schema import TEST_LABELS, TRAIN_LABELS
 from buyerscope.settings import TARGET, FeatureSettings, LifetimeSettings, ModelSettings, Paths
@@ -34,7 +33,7 @@ def split_transactions(spark: SparkSession, paths: Paths, share: float = 0.2, se
         labels.withColumn("buyer", (F.col(TARGET) > 0).cast("int")), "buyer", share=share, seed=seed
     ).drop("buyer")
     items = clean(spark.read.parquet(paths.transactions))
-    joined = heavy_hitter_join(items, marked, "cust_id", ["sale_id", "prod_id"])
+    joined = items.join(marked, "cust_id")
     files.write_table(
         joined.withColumn("part", F.when(F.col("is_validation") == 1, "validation").otherwise("calibration")),
         f"{paths.output}/split_transactions",

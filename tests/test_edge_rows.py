@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from buyerscope.features import preferences, store
+from buyerscope.features import passes, preferences, store
 from buyerscope.functions import exprs as x
 from buyerscope.lifetime.fitting import maximise
 from buyerscope.lifetime.rfm import rfm_summary
@@ -201,6 +201,21 @@ def test_prepare_frames_decides_on_training_rows(spark):
     assert [tuple(r) for r in b.collect()] == [(0, "b")]
 
 
+def test_deviation_of_many_large_values_keeps_its_digits(spark):
+    """n * sum of squares is far above 2^53 here; half the days are one day longer, sizes differ by a millionth."""
+    rows = spark.range(400_000).select(
+        F.lit(1).alias("cust_id"), (F.col("id") % 1000).alias("sale_id"), F.lit(DAY0).cast("timestamp_ntz").alias("order_date"),
+        F.lit(1.0).alias("sale_revenue"), F.lit(0.0).alias("sale_discount_applied"),
+        (F.lit(40.0) + F.col("id") % 2 * 1e-6).alias("prod_size"), F.lit(0).alias("prod_web_only"), F.lit(0).alias("prod_outlet"),
+        F.lit(0).alias("is_returned"), (F.lit(3_000_000) + F.col("id") % 2).alias("days_to_pack"),
+    )
+    got = passes.sale_features(rows, SETTINGS, lambda r: r).first()
+    assert got.std_days_to_pack == 0.5 and got.avg_days_to_pack == 3_000_000.5
+    assert got.size_std == pytest.approx(5e-7, rel=1e-12)
+    same = passes.sale_features(rows.withColumns({"days_to_pack": F.lit(7), "prod_size": F.lit(38.333)}), SETTINGS, lambda r: r)
+    assert [same.first().std_days_to_pack, same.first().size_std] == [0.0, 0.0]
+
+
 def test_preview_of_negative_rows(spark):
     rows = [row(1, i, DAY0, float(v)) for i, v in enumerate((-3, -1, 2))]
     assert profile.preview_negative(items(spark, rows), "sale_revenue").count() == 2
