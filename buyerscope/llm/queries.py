@@ -5,12 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from buyerscope.llm import decontamination, fill_middle, importance, mixing, pii, quality, quality_model, rollups
-from buyerscope.llm import sharding, simhash, token_files, toxicity, warc
-from buyerscope.llm.common import table, utf8, word_count
+from buyerscope.llm import sharding, simhash, token_counts, token_files, toxicity, warc
+from buyerscope.llm.common import replaced, table, utf8
 from buyerscope.llm.shared_files import new_folder
+from buyerscope.sources.staging import staged
 
 #: Tokenizer file of op4; a parameter wherever it is used.
 TOKENIZER = "word_bpe_49k.json"
+#: Tokenizer versions that op8 counts with, and their files.
+VERSIONS = {"word-49k": "word_bpe_49k.json", "bytes-50k": "byte_bpe_50k.tiktoken"}
 
 
 def op1_latent_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -55,13 +58,17 @@ def op7_checksums_and_context(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_delta_rollups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Inserts of all documents with estimated counts, the exact counts, removal of what labels call bad; two deliveries repeated.
 
-    Versions: words-1 counts words, bytes-1 counts UTF-8 bytes.
+    Versions are two tokenizers; the estimate is a token for four characters.
     """
-    docs = table(spark, sf_dir, "documents")
-    exact = F.when(F.col("version") == "words-1", word_count("text")).otherwise(F.octet_length(utf8("text"))).cast("long")
-    each = docs.withColumn("version", F.explode(F.array(F.lit("words-1"), F.lit("bytes-1"))))
-    estimate = F.ceil(F.coalesce("n_chars", F.lit(0)) / F.when(F.col("version") == "words-1", 6).otherwise(1))
-    rows = each.select("doc_id", *rollups.KEYS, estimate.alias("n_tokens"), exact.alias("new_tokens"))
+    import public_tokenizers
+
+    docs = replaced(table(spark, sf_dir, "documents"), estimate=F.ceil(F.coalesce("n_chars", F.lit(0)) / 4))
+    paths = {v: public_tokenizers.path(file) for v, file in VERSIONS.items()}
+    found = staged(
+        token_counts.counted(docs, ["doc_id", "source", "lang", "estimate"], paths, public_tokenizers.PATTERN), "token-counts"
+    )
+    rows = found.unpivot(["doc_id", "source", "lang", "estimate"], list(VERSIONS), "version", "new_tokens")
+    rows = rows.withColumnRenamed("estimate", "n_tokens")
     bad = table(spark, sf_dir, "labels").where("quality = 0").select("doc_id").distinct()
     gone = rows.join(bad, "doc_id", "left_semi").withColumn("n_tokens", F.col("new_tokens"))
     totals = rollups.Rollup(spark, new_folder(spark, "rollup"))
@@ -122,15 +129,6 @@ QUERIES = {
 }
 
 ORACLE = {
-    "op8_delta_rollups": r"""
-WITH exact AS (
-  SELECT source, lang, v.version,
-    CASE v.version WHEN 'words-1' THEN len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) ELSE strlen(coalesce(text, '')) END AS n
-  FROM documents CROSS JOIN (SELECT unnest(['words-1', 'bytes-1']) AS version) v
-  WHERE doc_id IS NULL OR doc_id NOT IN (SELECT doc_id FROM labels WHERE quality = 0 AND doc_id IS NOT NULL)
-)
-SELECT source, lang, version, count(*) AS docs, CAST(sum(n) AS BIGINT) AS tokens
-FROM exact GROUP BY source, lang, version""",
     "op11_fenwick_cuts": r"""
 WITH hashed AS (
   SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, ''))::BIGINT AS n, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS d FROM documents
