@@ -18,8 +18,10 @@ from buyerscope.functions.exprs import clip0, date_ordinal
 from buyerscope.models import sweeps
 from buyerscope.models.ensembles import Trees
 from buyerscope.models.trees import Spec
+from buyerscope.operators.clean import prepare_frames
 from buyerscope.operators.ranks import auc
 from buyerscope.operators.split import stratified_split
+from buyerscope.operators.target_stats import with_statistics
 from buyerscope.schema import conform_columns, numeric_columns
 from buyerscope.settings import TARGET, ModelSettings
 from buyerscope.sources.files import scored_customers
@@ -78,6 +80,28 @@ def assembled(df: DataFrame, names: list[str], keep: list[str]) -> DataFrame:
     return vector.select("cust_id", *keep, "features")
 
 
+def with_categories(
+    train: DataFrame, others: DataFrame, categories: DataFrame, target: str = "target_binary", seed: int = 0
+) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Both assembled frames with text columns of ``categories`` (one row per customer) as further features.
+
+    Each category is the mean ``target`` of its training rows; a training row sees those
+    before it. Text that reads as dates in the training rows becomes seconds. Returns the
+    frames and the names added.
+    """
+    added = [c for c in categories.columns if c != "cust_id"]
+    known = staged(train.join(categories, "cust_id", "left"), "train-categories")
+    (a, b), text = prepare_frames(known, [others.join(categories, "cust_id", "left")])
+    a, b = with_statistics(a, b, text, target, ["cust_id"], seed=seed)
+    names = [n for n in a.columns if n not in train.columns]
+    wide = VectorAssembler(inputCols=["features", *names], outputCol="_wide")
+
+    def widened(df: DataFrame) -> DataFrame:
+        return wide.transform(df).drop("features", *added, *names).withColumnRenamed("_wide", "features")
+
+    return widened(a), widened(b), names
+
+
 def with_balanced_weight(df: DataFrame) -> DataFrame:
     """Weight n / (2 * n_class), so that both classes weigh the same."""
     sizes = df.agg(

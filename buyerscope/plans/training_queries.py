@@ -8,6 +8,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from buyerscope.features import store
 from buyerscope.models import chains, search, sweeps, twostage
+from buyerscope.operators.ranks import auc
+from buyerscope.operators.target_stats import dominant_values
+from buyerscope.plans.cleaning_queries import FAVOURITES
 from buyerscope.plans.shape import shaped, sql_num
 from buyerscope.settings import ModelSettings
 from buyerscope.sources import retail_view as view
@@ -74,6 +77,21 @@ def buy_probability(spark, d):
     return shaped(twostage.buy_probability(model, valid).select("cust_id", "p_buy"))
 
 
+@_add("classifier_with_categories")
+def classifier_with_categories(spark, d):
+    """Stage one without and with the favourite brand and season of each customer, by AUC on validation."""
+    train, valid = _parts(_rows(spark, d)[0])
+    bought = view.transactions(spark, d).select("cust_id", *FAVOURITES)
+    favourites = staged(dominant_values(bought, "cust_id", list(FAVOURITES)), "favourites")
+    wide_train, wide_valid, added = twostage.with_categories(train, valid, favourites, seed=SETTINGS.seed)
+    boards = []
+    for n, a, b in ((0, train, valid), (len(added), staged(wide_train, "wide"), wide_valid)):
+        model = twostage.fit_classifier(twostage.default_classifier(SETTINGS), a)
+        found = auc(twostage.buy_probability(model, b), [], "target_binary", "p_buy")
+        boards.append(found.withColumn("n_categories", F.lit(n)))
+    return shaped(boards[0].unionByName(boards[1]))
+
+
 @_add("evaluate_two_stage")
 def evaluate_two_stage(spark, d):
     rows, names = _rows(spark, d)
