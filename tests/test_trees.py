@@ -1,6 +1,7 @@
 """Tree ensembles against plain recursion, and the same trees from one task and from many."""
 
 import itertools
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -353,3 +354,55 @@ def test_adaptive_models_from_one_task_and_many(spark, monkeypatch):
         assert one.margins(codes) == pytest.approx(many.margins(codes))
         truth = c if spec.classes else y
         assert np.corrcoef(one.numbers(one.margins(codes)), truth)[0, 1] > 0.6
+
+
+def _levels(spec, n=3000, width=9):
+    """A block of skewed bytes and a model of it in one task."""
+    rng = np.random.default_rng(3)
+    codes = (rng.beta(0.7, 2, (n, width)) * (trees.BINS - 1)).astype(np.uint8)
+    y = (rng.random(n) < 0.2 + codes[:, 0] / 80).astype(float) if spec.classes else rng.random(n) + codes[:, 1] / 20
+    bins = ensembles.Bins(np.zeros((width, trees.BINS - 1)), np.tile(np.arange(float(trees.BINS)), (width, 1)))
+    return ensembles.InTask(spec, ensembles.Block(np.arange(n), np.full(n, -2), y, codes), bins, 0.0, None, 8.0)
+
+
+class _ByHistogram:
+    """Splits from the whole histogram of a level, as jobs over all rows find them."""
+
+    def __init__(self, columns, spec):
+        self.columns = columns
+
+    def search(self, asked, row, at, m, y):
+        return trees.best_of_histogram(asked, trees.histogram(self.columns.T, row, at, m, y, asked.choice))
+
+    def follow(self, *_):
+        pass
+
+
+@pytest.mark.parametrize(
+    "spec",
+    [
+        Spec(True, False, 2, 9, 5, features="sqrt", bootstrap=True),
+        Spec(False, False, 2, 9, 2, bootstrap=True),
+        Spec(False, True, 2, 6, loss="absolute"),
+        Spec(True, True, 2, 4, subsample=0.8, loss="logistic"),
+        Spec(True, False, 2, 2, adaptive=True),
+    ],
+)
+def test_sums_by_feature_and_sibling_give_the_trees_of_whole_histograms(spec, monkeypatch):
+    monkeypatch.setattr(trees, "ROWS_AT_ONCE", 700)
+    found = [t for k in range(2) for t in _levels(spec).grow([k])]
+    monkeypatch.setattr(trees, "Splits", _ByHistogram)
+    wanted = [t for k in range(2) for t in _levels(spec).grow([k])]
+    for a, b in zip(found, wanted, strict=True):
+        for name in ("feature", "cut", "child", "value", "gain"):
+            assert np.array_equal(getattr(a, name), getattr(b, name)), name
+
+
+def test_a_deep_level_needs_no_whole_histogram(monkeypatch):
+    model = _levels(Spec(False, False, 1, 12), 20_000, 100)
+    tracemalloc.start()
+    tree = model.grow([0])[0]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(tree.feature) > 2000  # a histogram of the widest level has about 200 MB, and is copied several times
+    assert peak < 300 << 20
