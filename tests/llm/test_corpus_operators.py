@@ -3,6 +3,7 @@
 import random
 from concurrent.futures import ThreadPoolExecutor
 
+import numpy as np
 import pytest
 from hypothesis import given, settings, strategies as st
 
@@ -570,3 +571,33 @@ def test_leaks_edge_rows(spark, odd, empty):
     assert decontamination.leaks(empty, bench).collect() == []
     assert decontamination.leaks(odd, bench.limit(0)).collect() == []
     assert decontamination.keep_clean(odd, bench.limit(0)).count() == odd.count()
+
+
+def test_rows_are_dropped_by_a_space_of_all_passages(spark, monkeypatch):
+    seen, real = [], decontamination.latent_space
+
+    def watched(passages, own, idf):
+        seen.append(passages.count())
+        return real(passages, own, idf)
+
+    monkeypatch.setattr(decontamination, "FIT_BLOCKS", 1)
+    monkeypatch.setattr(decontamination, "latent_space", watched)
+    terms = [f"w{i}" for i in range(60)]
+    bench = spark.createDataFrame([(1, " ".join(terms))], "item_id long, text string")
+    rows = [(i, " ".join([terms[(i + j) % 60] if j % 4 == 0 else f"x{i}y{j}" for j in range(48)])) for i in range(40)]
+    docs = spark.createDataFrame([*rows, (99, " ".join(terms))], "doc_id long, text string")
+    assert sorted(r.doc_id for r in decontamination.keep_clean(docs, bench).collect()) == list(range(40))
+    assert seen == [40 * 3 + 4]
+
+
+def test_products_of_passages_are_those_of_their_matrix():
+    rng = np.random.default_rng(5)
+    dense = rng.integers(0, 3, (30, 12)) * (rng.random((30, 12)) < 0.4)
+    dense[:, 0] += 1
+    idf, right = rng.random(12) + 0.5, rng.normal(size=(12, 4))
+    block, ids = np.nonzero(dense)
+    out = np.zeros((12, 4))
+    decontamination._add_products(out, ids, dense[block, ids], np.flatnonzero(np.r_[True, np.diff(block) > 0]), idf, right, 2.0)
+    a = dense * idf
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    assert np.allclose(out, 2.0 * a.T @ (a @ right))
