@@ -590,6 +590,19 @@ def test_rows_are_dropped_by_a_space_of_all_passages(spark, monkeypatch):
     assert seen == [40 * 3 + 4]
 
 
+def test_rare_items_are_found_however_large_the_corpus(spark, monkeypatch):
+    for name, value in (("FIT_BLOCKS", 20), ("OWN_WEIGHT", 10.0), ("RANK", 12), ("OVERSAMPLE", 2)):
+        monkeypatch.setattr(decontamination, name, value)
+    rng = random.Random(4)
+    common = [f"c{i}" for i in range(40)]
+    items = [" ".join(f"r{i}w{j}" for j in range(24)) for i in range(10)]
+    bench = spark.createDataFrame([*enumerate(items), (10, " ".join(common))], "item_id long, text string")
+    rows = [(100 + i, " ".join(rng.choice(common) if j % 2 else f"x{i}y{j}" for j in range(96))) for i in range(200)]
+    planted = [(i, " ".join([f"x{i}a{j}" for j in range(20)] + [t] + [f"x{i}b{j}" for j in range(40)])) for i, t in enumerate(items)]
+    docs = spark.createDataFrame(rows + planted, "doc_id long, text string")
+    assert sorted(r.doc_id for r in decontamination.keep_clean(docs, bench).collect()) == [i for i, _ in rows]
+
+
 def test_products_of_passages_are_those_of_their_matrix():
     rng = np.random.default_rng(5)
     dense = rng.integers(0, 3, (30, 12)) * (rng.random((30, 12)) < 0.4)
