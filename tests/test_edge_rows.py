@@ -1,5 +1,6 @@
 """Hand-written rows for the cases where Spark's defaults differ from the wanted result."""
 
+import re
 from datetime import date, datetime, timedelta
 
 import numpy as np
@@ -263,3 +264,12 @@ def test_a_fit_that_still_gains_fails(spark):
     data = spark.createDataFrame([(1.0,)], "weight double")
     with pytest.raises(RuntimeError, match="still gains"):
         maximise(data, lambda rows, point: np.zeros(len(rows)) - point[0], [5.0], 0.0, steps=1)
+
+
+def test_products_of_a_sale_are_counted_without_a_table_of_all_pairs(spark):
+    rows = [(1, 5), (1, 5), (1, 6), (1, None), (2, None), (2, None), (3, 7), (None, 8), (None, None), (4, 9), (4, 8)]
+    items = spark.createDataFrame(rows * 3, "sale_id long, prod_id long")
+    out = profile.basket_products(items)
+    assert [tuple(r) for r in out.collect()] == [(0, 1, False), (1, 1, False), (2, 2, True)]
+    keys = re.findall(r"HashAggregate\(keys=\[(\w*)", out._jdf.queryExecution().sparkPlan().toString())
+    assert keys and not {"sale_id", "prod_id"} & set(keys)
