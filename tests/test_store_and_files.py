@@ -1,6 +1,7 @@
 """Invariants of the feature store, its plan, and the file sources."""
 
 import uuid
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -98,3 +99,15 @@ def test_absent_columns_become_typed_nulls(spark):
 def test_conformed_columns(spark):
     df = spark.createDataFrame([(1, None, 3)], "cust_id long, a double, extra int")
     assert conform_columns(df, ["a", "b"]).collect() == [(1, 0.0, 0.0)]
+
+
+def test_transactions_go_through_compressed_files(spark, monkeypatch):
+    from buyerscope.plans import cleaning_queries
+
+    folders, real = [], cleaning_queries.staged_path
+    monkeypatch.setattr(cleaning_queries, "staged_path", lambda *a: folders.append(real(*a)) or folders[-1])
+    monkeypatch.setattr(files, "ROWS_A_FILE", 1_000)
+    n = cleaning_queries.scan_text_cast(spark, SMALL).count()
+    written = [p for p in Path(folders[0].removeprefix("file:")).iterdir() if p.name.startswith("part-")]
+    assert n == view.raw_transactions(spark, SMALL).count()
+    assert len(written) >= n / 1_000 and all(p.name.endswith(".csv.gz") for p in written)
