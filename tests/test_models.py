@@ -1,5 +1,7 @@
 """Fits recover known parameters; trained models keep their promises."""
 
+import threading
+
 import numpy as np
 import pytest
 from pyspark.ml.functions import array_to_vector
@@ -234,3 +236,36 @@ def test_jobs_from_files_to_scores(spark, small_items):
     run = jobs.train_and_score(spark, paths, twostage.TwoStagePipeline(SETTINGS))
     back = spark.read.option("header", True).csv(f"{paths.output}/scored_{run.strategy}")
     assert back.columns == ["cust_id", SCORED] and back.count() == view.test_customers(spark, SMALL).count()
+
+
+class Met(Exception):
+    pass
+
+
+def meeting(n):
+    """A job that ends only once ``n`` of its kind run at the same time."""
+    all_here = threading.Barrier(n)
+
+    def job(*_):
+        all_here.wait(30)
+        raise Met
+
+    return job
+
+
+def fits_meet(monkeypatch, n):
+    job = meeting(n)
+    monkeypatch.setattr(twostage, "fit_classifier", lambda *a: job())
+    monkeypatch.setattr(twostage, "fit_regressor", lambda *a: job())
+    twostage.fit_classifier.__name__, twostage.fit_regressor.__name__ = "classifier", "regressor"
+
+
+def few_rows(spark):
+    row = "1L cust_id, 1 target_binary, 2D target_reg, 1D target_log, 0 is_validation, array(1D) x"
+    return spark.sql(f"select {row}").withColumn("features", array_to_vector("x"))
+
+
+def test_a_refit_does_not_wait_for_the_validation(spark, monkeypatch):
+    fits_meet(monkeypatch, 4)
+    with pytest.raises(Met):
+        twostage.TwoStagePipeline().complete(few_rows(spark), ["x"], None, None)
