@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from buyerscope.features import store
 from buyerscope.lifetime import value
 from buyerscope.lifetime.fitting import log_gamma
-from buyerscope.models import search, sweeps, twostage
+from buyerscope.models import chains, search, sweeps, twostage
 from buyerscope.settings import SCORED, LifetimeSettings, ModelSettings
 from buyerscope.sources import retail_view as view
 from buyerscope.sources.staging import staged
@@ -269,3 +269,10 @@ def test_a_refit_does_not_wait_for_the_validation(spark, monkeypatch):
     fits_meet(monkeypatch, 4)
     with pytest.raises(Met):
         twostage.TwoStagePipeline().complete(few_rows(spark), ["x"], None, None)
+
+
+def test_an_ensemble_fits_all_its_models_side_by_side(spark, monkeypatch):
+    fits_meet(monkeypatch, 8)
+    pipeline = type("P", (), {"training_rows": lambda self, *a: (few_rows(spark), ["x"])})()
+    with pytest.raises(Met):
+        chains.ensemble_run(pipeline, (None, None, None), ("a", "b"), ("c", "d"))
