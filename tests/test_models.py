@@ -276,3 +276,11 @@ def test_an_ensemble_fits_all_its_models_side_by_side(spark, monkeypatch):
     pipeline = type("P", (), {"training_rows": lambda self, *a: (few_rows(spark), ["x"])})()
     with pytest.raises(Met):
         chains.ensemble_run(pipeline, (None, None, None), ("a", "b"), ("c", "d"))
+
+
+def test_both_stages_are_searched_side_by_side(spark, monkeypatch):
+    monkeypatch.setattr(search, "random_search", meeting(2))
+    pipeline = twostage.TwoStagePipeline()
+    monkeypatch.setattr(twostage.TwoStagePipeline, "training_rows", lambda self, *a: (few_rows(spark), ["x"]))
+    with pytest.raises(Met):
+        chains.tuned_run(pipeline, (None, None, None), ("a", "b"), ({}, {}))
