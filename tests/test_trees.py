@@ -406,3 +406,50 @@ def test_a_deep_level_needs_no_whole_histogram(monkeypatch):
     tracemalloc.stop()
     assert len(tree.feature) > 2000  # a histogram of the widest level has about 200 MB, and is copied several times
     assert peak < 300 << 20
+
+
+class _FromRows:
+    """Random thresholds from all rows of a level, as jobs over all rows find them."""
+
+    def __init__(self, bins, columns, spec, values):
+        self.bins, self.values = bins, values
+
+    def search(self, asked, row, at, m, y):
+        span = trees.ranges(self.bins, row, at, asked.choice)
+        cut = trees.thresholds(asked, span, self.values)
+        return trees.best_of_random(asked, cut, span, trees.left_sums(self.bins, row, at, m, y, asked.choice, cut))
+
+    def follow(self, *_):
+        pass
+
+
+@pytest.mark.parametrize("large", [2, 40, 10**9])
+@pytest.mark.parametrize(
+    "spec",
+    [
+        Spec(True, False, 3, features="sqrt", split="random", bootstrap=True),
+        Spec(True, False, 3, 9, 5, features=0.7, split="random"),
+        Spec(True, False, 3, min_leaf=3, split="random", bootstrap=True),
+        Spec(False, False, 3, split="random"),
+        Spec(False, False, 3, min_split=9, features=0.5, split="random", bootstrap=True),
+    ],
+)
+def test_random_thresholds_by_sibling_and_by_rows_are_those_of_whole_levels(spec, large, monkeypatch):
+    monkeypatch.setattr(trees, "LARGE", large)
+    monkeypatch.setattr(trees, "NEAR", 2_000)
+    found = _levels(spec).grow([0, 1, 2])
+    monkeypatch.setattr(trees, "RandomSplits", _FromRows)
+    wanted = _levels(spec).grow([0, 1, 2])
+    assert any(len(t.feature) > 20 for t in found)
+    for a, b in zip(found, wanted, strict=True):
+        for name in ("feature", "cut", "child", "value", "gain"):
+            assert np.array_equal(getattr(a, name), getattr(b, name)), name
+
+
+def test_random_thresholds_copy_no_whole_level():
+    model = _levels(Spec(False, False, 25, 4, split="random"), 20_000, 100)
+    tracemalloc.start()
+    model.grow(list(range(25)))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 400 << 20  # sums of all rows and features of a level have as much, and are copied several times
