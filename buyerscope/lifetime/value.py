@@ -4,6 +4,7 @@
 from __future__ import annotations
 
 import math
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import numpy as np
@@ -145,7 +146,9 @@ def join_enrichment(features: DataFrame, scored: DataFrame) -> DataFrame:
 
 
 def enrich(features: DataFrame, items: DataFrame, settings: LifetimeSettings = LifetimeSettings()) -> DataFrame:
-    """Fit both models on the items and add their predictions to the features."""
+    """Fit both models on the items, side by side, and add their predictions to the features."""
     rfm = staged(rfm_summary(items, settings), "rfm")
-    scored = score(rfm, fit_purchases(rfm, settings), fit_spend(rfm, settings), settings.horizon_days)
-    return join_enrichment(features, scored)
+    with ThreadPoolExecutor(1) as beside:
+        spend = beside.submit(fit_spend, rfm, settings)
+        purchases = fit_purchases(rfm, settings)
+    return join_enrichment(features, score(rfm, purchases, spend.result(), settings.horizon_days))

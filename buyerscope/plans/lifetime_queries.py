@@ -134,5 +134,5 @@ def gamma_gamma_fit(spark, d):
 
 @_add("enriched_features")
 def enriched_features(spark, d):
-    items = staged(view.transactions(spark, d), "items")
+    items = staged(view.transactions(spark, d).select(*store.columns_read(store.kept_features())), "items")
     return shaped(value.enrich(store.customer_features(items, view.FEATURES), items, view.LIFETIME))

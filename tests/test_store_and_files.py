@@ -111,3 +111,30 @@ def test_transactions_go_through_compressed_files(spark, monkeypatch):
     written = [p for p in Path(folders[0].removeprefix("file:")).iterdir() if p.name.startswith("part-")]
     assert n == view.raw_transactions(spark, SMALL).count()
     assert len(written) >= n / 1_000 and all(p.name.endswith(".csv.gz") for p in written)
+
+
+def test_staged_items_hold_only_what_the_features_read(spark, small_items):
+    from buyerscope.plans import feature_queries
+
+    for names in (*feature_queries.FAMILIES.values(), store.catalogue()):
+        some = small_items.select(*store.columns_read(names))
+        out = store.select_features(some, view.FEATURES, names, HotSplit("cust_id"))
+        assert out.columns == ["cust_id", *names]
+    items = feature_queries._table(spark, SMALL, store.kept_features())
+    assert not {"prod_title", "prod_id", "pack_date", "returned_to_shop_id"} & set(items.columns)
+    assert items.count() == small_items.count()
+
+
+def test_both_lifetime_models_are_fitted_at_the_same_time(spark, monkeypatch):
+    from threading import Barrier
+
+    from buyerscope.lifetime import value
+
+    both = Barrier(2)
+    models = {"fit_purchases": value.PurchaseModel(1.0, 2.0, 1.5, 2.5), "fit_spend": value.SpendModel(1.0, 2.0, 3.0)}
+    for name, model in models.items():
+        monkeypatch.setattr(value, name, lambda *_, model=model: (both.wait(30), model)[1])
+    rows = "(1, timestamp_ntz'2017-01-01 00:00:00', 5D, 0), (1, timestamp_ntz'2017-02-01 00:00:00', 6D, 0)"
+    items = spark.sql(f"select * from values {rows} as t(cust_id, order_date, sale_revenue, is_returned)")
+    found = value.enrich(spark.sql("select 1 as cust_id union all select 2"), items).orderBy("cust_id").collect()
+    assert found[0].prob_alive > 0 and found[1].prob_alive == 0
