@@ -590,6 +590,47 @@ def test_rows_are_dropped_by_a_space_of_all_passages(spark, monkeypatch):
     assert seen == [40 * 3 + 4]
 
 
+def test_the_index_is_fitted_on_all_passages(spark, monkeypatch):
+    seen, real = [], decontamination.latent_space
+
+    def watched(passages, own, idf):
+        seen.append(passages.count())
+        return real(passages, own, idf)
+
+    monkeypatch.setattr(decontamination, "FIT_BLOCKS", 1)
+    monkeypatch.setattr(decontamination, "HOT_TERMS", 20)
+    monkeypatch.setattr(decontamination, "latent_space", watched)
+    terms = [f"w{i}" for i in range(60)]
+    bench = spark.createDataFrame([(1, " ".join(terms))], "item_id long, text string")
+    rows = [(i, " ".join([terms[(i + j) % 60] if j % 4 == 0 else f"x{i}y{j}" for j in range(48)])) for i in range(40)]
+    docs = spark.createDataFrame([*rows, (99, " ".join(terms))], "doc_id long, text string")
+    assert [(r.doc_id, r.item_id, r.n_common) for r in decontamination.leaks(docs, bench).collect()] == [(99, 1, 60)]
+    assert seen == [40 * 3 + 4]
+
+
+def test_tables_of_meetings_give_the_products_of_their_passages(monkeypatch):
+    rng = np.random.default_rng(6)
+    dense = rng.integers(0, 3, (200, 12)) * (rng.random((200, 12)) < 0.3)
+    dense[np.arange(200), rng.integers(0, 12, 200)] += 1
+    idf, right = rng.random(12) + 0.5, rng.normal(size=(12, 4))
+    block, ids = np.nonzero(dense)
+    begin = np.flatnonzero(np.r_[True, np.diff(block) > 0])
+    want = np.zeros((12, 4))
+    decontamination._add_products(want, ids, dense[block, ids], begin, idf, right)
+    for hot in (12, 8, 1):
+        monkeypatch.setattr(decontamination, "HOT_TERMS", hot)
+        met, got = decontamination.Meetings(idf), np.zeros((12, 4))
+        for a in (0, 90):
+            part = slice(begin[a], begin[90] if a == 0 else len(ids))
+            own = begin[a : 90 if a == 0 else 200] - begin[a]
+            rest = met.add(ids[part], dense[block, ids][part], own)
+            assert hot < 12 or not len(rest[0])
+            if len(rest[0]):
+                decontamination._add_products(got, *rest, idf, right)
+        got[met.hot] += met.product(right)
+        assert np.allclose(got, want)
+
+
 def test_rare_items_are_found_however_large_the_corpus(spark, monkeypatch):
     for name, value in (("FIT_BLOCKS", 20), ("OWN_WEIGHT", 10.0), ("RANK", 12), ("OVERSAMPLE", 2)):
         monkeypatch.setattr(decontamination, name, value)
