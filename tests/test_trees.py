@@ -453,3 +453,54 @@ def test_random_thresholds_copy_no_whole_level():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert peak < 400 << 20  # sums of all rows and features of a level have as much, and are copied several times
+
+
+@pytest.mark.parametrize("joint", [1, 30, 10**9])
+@pytest.mark.parametrize("rows_at_once", [7, 1 << 15])
+def test_words_give_the_trees_of_columns(joint, rows_at_once, monkeypatch):
+    monkeypatch.setattr(trees, "JOINT_ROWS", joint)
+    monkeypatch.setattr(trees, "ROWS_AT_ONCE", rows_at_once)
+    x, y, c = sample(260, 9)
+    x[3, 4] = np.nan  # has the last bin
+    x[:, 5] = x[:, 0]  # of equal gains the first feature counts
+    bins, key = Bins.of(np.nan_to_num(x)), np.arange(260)
+    for spec, target in [
+        (Spec(False, False, 3, 6, 2, bootstrap=True), y), (Spec(True, False, 2, None, balanced=True), c),
+        (Spec(False, True, 4, 3, step=0.3, subsample=0.8), y), (Spec(True, True, 4, 3, step=0.3, loss="logistic"), c),
+        (Spec(False, True, 4, 5, step=0.3, loss="absolute"), y), (Spec(False, False, 3, 3, adaptive=True), y),
+    ]:
+        words = trees.Words(bins.sizes, 260)
+        words.fill(0, bins(x[:2]))
+        words.fill(2, bins(x[2:]))
+        assert np.array_equal(words[np.repeat(key, 9), np.tile(np.arange(9), 260)].reshape(-1, 9), bins(x))
+        grown = []
+        for held in (bins(x), words):
+            rows = InTask(spec, Block(key, key % 3, target, held), bins, 0.0, (1.0, 2.0) if spec.balanced else None, 16.0)
+            grown.append([t for n in ensembles.batches_of(spec, 0, spec.trees) for t in rows.grow(n)])
+        assert len(grown[0]) == len(grown[1]) > 0
+        for a, b in zip(*grown):
+            for name in ("feature", "cut", "child", "value", "gain"):
+                assert np.array_equal(getattr(a, name), getattr(b, name)), (spec, name)
+
+
+def test_rows_read_by_each_task_give_the_trees_of_rows_sent(spark, monkeypatch):
+    x, y, c = sample(120)
+    rows = frame(spark, x, y, c).repartition(3)
+    specs = [
+        Spec(False, False, 5, 6, 2, bootstrap=True), Spec(False, True, 4, 3, step=0.3, loss="absolute", held_out=1),
+        Spec(False, False, 4, features="sqrt"), Spec(False, False, 3, split="random"), Spec(False, False, 3, 3, adaptive=True),
+    ]
+    table = ensembles.binned(rows, "target_log", fold="fold")
+    sent = ensembles.fit_all(specs, table)
+    searched = [s for s in specs if not s.adaptive]
+    marks = [[2, s.trees] for s in searched]
+    scores = sorted(map(tuple, ensembles.held_out_scores([*map(lambda s: ensembles.replace(s, held_out=1), searched)], marks, table).collect()))
+    monkeypatch.setattr(ensembles, "SENT", 10)
+    monkeypatch.setattr(ensembles, "LONG_TREES_AT_ONCE", 2)
+    monkeypatch.setattr(type(table.rows), "toArrow", lambda self: pytest.fail("rows came to the driver"))
+    for a, b in zip(sent, ensembles.fit_all(specs, table)):
+        assert len(a.trees) == len(b.trees)
+        for s, t in zip(a.trees, b.trees):
+            assert np.array_equal(s.feature, t.feature) and np.array_equal(s.cut, t.cut) and np.allclose(s.value, t.value)
+    again = sorted(map(tuple, ensembles.held_out_scores([*map(lambda s: ensembles.replace(s, held_out=1), searched)], marks, table).collect()))
+    assert [r[:5] for r in again] == [r[:5] for r in scores] and np.allclose([r[5] for r in again], [r[5] for r in scores])
