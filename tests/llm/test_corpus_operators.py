@@ -599,6 +599,7 @@ def test_the_index_is_fitted_on_all_passages(spark, monkeypatch):
 
     monkeypatch.setattr(decontamination, "FIT_BLOCKS", 1)
     monkeypatch.setattr(decontamination, "HOT_TERMS", 20)
+    monkeypatch.setattr(decontamination, "ROWS_AT_ONCE", 8)
     monkeypatch.setattr(decontamination, "latent_space", watched)
     terms = [f"w{i}" for i in range(60)]
     bench = spark.createDataFrame([(1, " ".join(terms))], "item_id long, text string")
@@ -619,6 +620,7 @@ def test_tables_of_meetings_give_the_products_of_their_passages(monkeypatch):
     decontamination._add_products(want, ids, dense[block, ids], begin, idf, right)
     for hot in (12, 8, 1):
         monkeypatch.setattr(decontamination, "HOT_TERMS", hot)
+        monkeypatch.setattr(decontamination, "ROWS_AT_ONCE", 5)
         met, got = decontamination.Meetings(idf), np.zeros((12, 4))
         for a in (0, 90):
             part = slice(begin[a], begin[90] if a == 0 else len(ids))
