@@ -504,3 +504,20 @@ def test_rows_read_by_each_task_give_the_trees_of_rows_sent(spark, monkeypatch):
             assert np.array_equal(s.feature, t.feature) and np.array_equal(s.cut, t.cut) and np.allclose(s.value, t.value)
     again = sorted(map(tuple, ensembles.held_out_scores([*map(lambda s: ensembles.replace(s, held_out=1), searched)], marks, table).collect()))
     assert [r[:5] for r in again] == [r[:5] for r in scores] and np.allclose([r[5] for r in again], [r[5] for r in scores])
+
+
+def test_thresholds_are_the_last_bins_with_a_value_at_most_the_drawn_one():
+    rng = np.random.default_rng(9)
+    for width in (1, 7):
+        values = np.sort(rng.normal(size=(width, trees.BINS)), axis=1)
+        values[:, 40:] = np.inf
+        values[0, 10:20] = values[0, 10]
+        choice = np.broadcast_to(np.arange(width), (50, width))
+        low, high = np.sort(rng.integers(0, 40, (2, 50, width)), axis=0)
+        asked = trees.Asked(Spec(False, False, 1, split="random"), np.zeros(50, int), np.arange(50), np.ones(50), np.ones(50), choice, None)
+        got = trees.thresholds(asked, np.stack([low, high]).astype(np.int16), values)
+        u = trees.hashed(42, 3, np.zeros((50, 1), int), np.arange(50)[:, None], choice)
+        for i, f in itertools.product(range(50), range(width)):
+            a, b = low[i, f], high[i, f]
+            t = values[f, a] + u[i, f] * (values[f, b] - values[f, a])
+            assert got[i, f] == max([k for k in range(a, b) if values[f, k] <= t], default=a)
